@@ -46,7 +46,7 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     df = df.withColumn("_placed", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(none))
     df = df.withColumn("_twice", F.sort_array(F.transform(F.filter("_placed", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])))
     # A window covers three words, or as many as come after the one before it.
-    covered = F.zip_with("_twice", F.concat(F.array(F.lit(-3)), F.col("_twice")), lambda i, last: F.coalesce(F.least(F.lit(3), i - last), F.lit(0)))
+    covered = F.zip_with("_twice", F.concat(F.array(F.lit(-3)), F.col("_twice")), lambda i, last: F.when(i.isNotNull(), F.least(F.lit(3), i - last)).otherwise(0))
     covered = F.aggregate(covered, F.lit(0).cast("long"), lambda total, x: total + x)
     return df.withColumn(out, covered).drop("_windows", "_placed", "_twice")
 
