@@ -29,6 +29,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_by_bytes
 
@@ -77,6 +83,7 @@ QUERIES = {
     for f in (
         op1_bpe_round_trip,
         op2_best_fit_packing,
+        op3_suffix_tree_dedup,
         op4_karmarkar_karp_shards,
         op5_flac_media,
         op6_language_id,
