@@ -1,21 +1,60 @@
-"""A corpus pipeline of five stages, each over all that the one before it kept."""
+"""A corpus pipeline of five stages, each over all that the one before it kept: quality rules, language identification,
+near-duplicate removal, removal of repeated passages, and packing into sequences.
+
+Every stage is a function (spark, docs, sf_dir) of the operators in quillgraph.llm; all but the last return the columns of
+documents. run() writes what a stage returns in the shared folder and reads it again for the next one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillgraph.llm import langid, packing, quality, simhash, substrings
+from quillgraph.llm.common import durable
+from quillgraph.llm.queries import vocabulary
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and their group's fences keep."""
+    return quality.keep_good(docs)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents near enough to a language that the corpus itself teaches."""
+    return langid.keep_identified(docs, langid.fit_fold(docs))
+
 
-STAGES: list = []
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies."""
+    return simhash.keep_first(docs)
 
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 20 words and more that an earlier one has."""
+    return substrings.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: Hashes, trained centroids and tokenizers have no SQL form; tests/llm compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each written and read again, on documents."""
-    from quillgraph.llm.common import durable
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = durable(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,6 +118,20 @@ def fit(rows: DataFrame) -> Centroids | None:
     return Centroids(sorted(found), {k: np.stack([np.frombuffer(c, np.uint16) for c in sorted(v)]).astype(np.float32) for k, v in found.items()})
 
 
+def predicted(whole: pa.RecordBatch, model: Centroids | None) -> Iterator[pa.RecordBatch]:
+    """Predictions for the rows (doc_id, text) of a batch, in order."""
+    for part in slices(whole):
+        for lo in range(0, part.num_rows, ROWS):
+            batch = part.slice(lo, ROWS)
+            texts = column(batch, "text")
+            known = np.array([model is not None and LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+            lang, score = model.nearest(counts_of(texts)) if model else (np.zeros(len(known), int), np.zeros(len(known)))
+            names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(lang.tolist(), known.tolist(), strict=True)]
+            score = np.where(known, score, 0).astype(np.float64)
+            bad = ~known if model is None else ~known | (score < model.floor[lang]) | (score <= 0)
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(bad)], ["doc_id", "lang_pred", "score", "rejected"])
+
+
 def predict(df: DataFrame, model: Centroids | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, rejected of each row.
 
@@ -126,24 +141,33 @@ def predict(df: DataFrame, model: Centroids | None, id_col: str = "doc_id", text
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for whole in batches:
-            for part in slices(whole):
-                for lo in range(0, part.num_rows, ROWS):
-                    batch = part.slice(lo, ROWS)
-                    texts = column(batch, "text")
-                    known = np.array([model is not None and LETTER.search(t) is not None for t in texts.to_pylist()], bool)
-                    lang, score = model.nearest(counts_of(texts)) if model else (np.zeros(len(known), int), np.zeros(len(known)))
-                    names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(lang.tolist(), known.tolist(), strict=True)]
-                    score = np.where(known, score, 0).astype(np.float64)
-                    bad = ~known if model is None else ~known | (score < model.floor[lang]) | (score <= 0)
-                    yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(bad)], ["doc_id", "lang_pred", "score", "rejected"])
+        for batch in batches:
+            yield from predicted(batch, shared.value)
 
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
+def fit_fold(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids | None:
+    """A model from the rows whose crc32(id) mod 3 isn't 1."""
+    return fit(df.where(remainder(id_col, 3) != 1).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("order")))
+
+
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, lang_pred, score, rejected, by a model from the rows whose crc32(id) mod 3 isn't 1. Ids decide who teaches, and nothing else."""
-    training = df.where(remainder(id_col, 3) != 1).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("order"))
-    return predict(df, fit(training), id_col, text_col)
+    return predict(df, fit_fold(df, id_col, text_col, lang_col), id_col, text_col)
+
+
+def keep_identified(df: DataFrame, model: Centroids | None, text_col: str = "text") -> DataFrame:
+    """The rows of df whose text isn't rejected (see predict), with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts = pc.coalesce(column(batch, text_col), pa.scalar("", column(batch, text_col).type))
+            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), texts], ["doc_id", "text"])
+            bad = [x for part in predicted(rows, model) for x in column(part, "rejected").to_pylist()]
+            yield batch.filter(pa.array([not x for x in bad], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -51,36 +51,36 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     return df.withColumn(out, covered).drop("_windows", "_placed", "_twice")
 
 
-def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each row. A null text has no words."""
+def measured(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns to carry, all by default, so that their names can't clash), lang, source, and n_words, word_chars, n_symbols, n_capitals, n_dup_lines, n_lines, n_repeat_words of each row. A null text has no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), text.alias("t"), words_of(text).alias("w"))
+    base = df.select(F.struct(*(carry or df.columns)).alias("row"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), text.alias("t"), words_of(text).alias("w"))
     base = with_repeated_words(base, "w", "n_repeat_words")
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    base = base.withColumn("lines", F.filter(F.split("t", "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0))
     return base.select(
-        "doc_id",
+        "row",
         "lang",
         "source",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
         _count("t", SYMBOLS).alias("n_symbols"),
         _count("t", CAPITALS).alias("n_capitals"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.size(lines).cast("long").alias("n_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.size("lines").cast("long").alias("n_lines"),
         "n_repeat_words",
     )
 
 
 def rates(rows: DataFrame) -> DataFrame:
-    some = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     return rows.select(
         "*",
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
-        (F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))).alias("symbol_rate"),
+        (F.col("n_symbols") / chars).alias("symbol_rate"),
         (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))).alias("dup_line_rate"),
-        (F.col("n_repeat_words") / some).alias("repeat_rate"),
-        (F.col("word_chars") / some).alias("mean_word"),
-        (F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1))).alias("capital_rate"),
+        (F.col("n_repeat_words") / words).alias("repeat_rate"),
+        (F.col("word_chars") / words).alias("mean_word"),
+        (F.col("n_capitals") / chars).alias("capital_rate"),
     )
 
 
@@ -94,18 +94,28 @@ def fences(rows: DataFrame) -> DataFrame:
     )
 
 
-def apply_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of each row.
+def judged(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """measured() with base_failed and kept.
 
     Null languages and sources form groups too. Empty texts fail the base rules. A group in which all documents fail them has
     no fence, and needs none. Values that lie on the fence pass. Repeated rows are judged alike; an empty table gives none.
     """
-    # A few numbers per document, written once, so that the texts aren't measured again for the second use.
-    rows = durable(rates(measured(df, id_col, text_col, lang_col, source_col)), "measures")
-    limit = fences(rows)
+    # Written once with its row, so that texts are neither measured again for the second use nor shuffled to meet their measures.
+    rows = durable(rates(measured(df, text_col, lang_col, source_col, carry)), "measures")
     # As many rows as there are pairs of language and source, which nothing bounds: Spark measures it and broadcasts it only below its own threshold.
-    joined = rows.join(limit, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    joined = rows.join(fences(rows), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     fine = F.lit(True)
     for m in MEASURES:
         fine = fine & F.coalesce(F.col(m) <= F.col(f"max_{m}"), F.lit(True))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & fine).alias("kept"))
+    return joined.withColumn("kept", ~F.col("base_failed") & fine)
+
+
+def apply_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of each row; see judged()."""
+    rows = judged(df, text_col, lang_col, source_col, [id_col])
+    return rows.select(F.col("row")[id_col].alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def keep_good(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of df that the rules keep."""
+    return judged(df, text_col, lang_col, source_col).where("kept").select("row.*")

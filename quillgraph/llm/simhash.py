@@ -231,5 +231,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of df, but of each component only those with its smallest id. Rows with a null id stay; rows that repeat an id stay or go together."""
+    found = near_duplicates(df, id_col, text_col, words, threshold)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return df.join(gone, id_col, "left_anti")
+
+
 def as_hex(fp: str = "fp"):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

@@ -250,8 +250,20 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return durable(found.where("kind = 1").union(windows).drop("kind"), "repeats")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 (and kept_text, its words joined by a space) of each row.
+def kept_words(text: str, ranges: list | None) -> tuple[int, bytes, int]:
+    """Number of words, the words that stay joined by a space, and their number."""
+    words = text.encode().split()
+    n = len(words)
+    if ranges:
+        stays = np.ones(n, bool)
+        for r in ranges:
+            stays[r["first"] : r["first"] + r["more"]] = False
+        words = list(compress(words, stays.tolist()))
+    return n, b" ".join(words), len(words)
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 (of the words that stay, joined by a space) of each row.
 
     Every word under a window of 20 words whose sequence also starts earlier, by a smaller id or an earlier place, goes. Null
     and empty texts have no words; texts under 20 words lose none. A null id comes after all others. Rows that repeat an id
@@ -262,22 +274,28 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                count, removed, kept = [], [], []
-                for text, ranges in zip(column(batch, "text").to_pylist(), column(batch, "ranges").to_pylist(), strict=True):
-                    words = text.encode().split()
-                    count.append(len(words))
-                    if ranges:
-                        stays = np.ones(len(words), bool)
-                        for r in ranges:
-                            stays[r["first"] : r["first"] + r["more"]] = False
-                        words = list(compress(words, stays.tolist()))
-                    removed.append(count[-1] - len(words))
-                    kept.append(b" ".join(words))
-                cols = [column(batch, "_id"), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
-                cols += [pa.array([k.decode() for k in kept], pa.string())] if with_text else []
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: len(cols)])
+                found = [kept_words(t, r) for t, r in zip(column(batch, "text").to_pylist(), column(batch, "ranges").to_pylist(), strict=True)]
+                cols = [column(batch, "_id"), pa.array([n for n, _, _ in found], pa.int64()), pa.array([n - m for n, _, m in found], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for _, k, _ in found], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     docs = _ids(df, id_col, text_col)
     rows = docs.join(_ranges(repeated_ranges(df, id_col, text_col)), "doc_id", "left")
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.select("_id", "text", "ranges").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else ""))
+    return rows.select("_id", "text", "ranges").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df with what remove_repeats removes taken out of the text: its other words, joined by a space. Texts that lose nothing stay as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = [t if not r else kept_words(t, r)[1].decode() for t, r in zip(batch.column(at).to_pylist(), column(batch, "ranges").to_pylist(), strict=True)]
+            cols = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(cols[:-1], batch.schema.names[:-1])
+
+    found = _ranges(repeated_ranges(df, id_col, text_col)).withColumnRenamed("doc_id", "_key")
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
+    rows = df.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), key.alias("_key")).join(found, "_key", "left").select("row", "text", "ranges")
+    out = rows.mapInArrow(run, rows.drop("ranges").schema)
+    return out.select(*[(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in df.columns])
