@@ -364,3 +364,224 @@ def cross_doc_prompts(spark, sf):
     d = with_ents(spark, sf)
     rows = crossdoc.cross_doc_tasks(d, d)
     return rows.select("graph_id", sha(prompts.cross_prompt("a.title", "a.text", "b.title", "b.text", "shared")).alias("prompt_sha1"))
+
+
+# Sections and the graph of sections. The corpus has no blank lines, so its line ends are doubled to make paragraphs.
+
+
+def paragraphed(spark, sf) -> DataFrame:
+    return with_ents(spark, sf).withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n")))
+
+
+SENTENCE = r"coalesce(nullif(trim(coalesce(nullif(regexp_extract({0}, '^(.*?[.!?])\s', 1), ''), {0}), ' .!?'), ''), title)"
+SECT = ENTS + rf""", md AS (SELECT d.*, l.entities, list_filter(list_transform(regexp_split_to_array(replace(d.text, chr(10), chr(10) || chr(10)), '\n\s*\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS paras FROM docs d JOIN lists l USING (doc_id)),
+ sect0 AS (SELECT doc_id, source_index, source_sha256, title, entities, unnest(paras) AS body, generate_subscripts(paras, 1) - 1 AS spos FROM md),
+ sect1 AS (SELECT *, trim(regexp_replace(body, '\s+', ' ', 'g')) AS flat FROM sect0),
+ sect AS MATERIALIZED (SELECT doc_id || '#s' || spos AS section_id, doc_id, source_index, source_sha256, title, entities, body, spos, {SENTENCE.format('flat')} AS section_title, {FOLD.format('flat')} AS key FROM sect1),
+ cutsect AS ({CLIP.format(n=1800, m=1799, h=900, out='text', of='(SELECT section_id AS doc_id, body AS text FROM sect)')}),
+ nodes AS MATERIALIZED (SELECT s.section_id, s.doc_id, s.source_index, s.source_sha256, s.title, s.section_title, c.text, list_filter(s.entities, lambda e: contains(s.key, e)) AS entities, s.spos FROM sect s JOIN cutsect c ON c.doc_id = s.section_id WHERE len(list_filter(s.entities, lambda e: contains(s.key, e))) > 0),
+ skeys AS MATERIALIZED (SELECT section_id, doc_id, unnest(entities) AS key FROM nodes),
+ edges AS MATERIALIZED (SELECT DISTINCT a.section_id AS src, b.section_id AS dst, a.doc_id AS src_doc, b.doc_id AS dst_doc FROM skeys a JOIN skeys b ON a.key = b.key AND a.section_id <> b.section_id)"""
+
+
+def nodes_of(spark, sf) -> DataFrame:
+    return sections.section_nodes(paragraphed(spark, sf))
+
+
+@query("SELECT section_id, section_title AS title, CAST(length(body) AS BIGINT) AS n_chars FROM sect", SECT)
+def markdown_sections(spark, sf):
+    rows = paragraphed(spark, sf).withColumn("_s", sections.section_array("text", "title"))
+    rows = rows.select("doc_id", F.posexplode("_s").alias("pos", "s"))
+    return rows.select(F.concat("doc_id", F.lit("#s"), F.col("pos").cast("string")).alias("section_id"), F.col("s.title").alias("title"), F.length("s.body").cast("long").alias("n_chars"))
+
+
+HEADED = DOCS + r""", pieces AS (SELECT doc_id, source, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body FROM (SELECT doc_id, title AS source, replace(text, chr(10), ' ') AS text FROM docs))"""
+
+
+@query("SELECT doc_id || '#s' || 0 AS section_id, 'Head ' || source AS title, CAST(length('Head ' || source || chr(10) || body) AS BIGINT) AS n_chars FROM pieces UNION ALL SELECT doc_id || '#s' || 1, 'Tail', 9 FROM pieces", HEADED)
+def heading_sections(spark, sf):
+    """A heading with a body, one without (which is no section), and a last one."""
+    d = corpus(spark, sf).withColumn("text", F.concat(F.lit("## Head "), "title", F.lit(":\n\n"), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("\n\n# Empty\n### Tail  \nlast")))
+    rows = d.withColumn("_s", sections.section_array("text", "title")).select("doc_id", F.posexplode("_s").alias("pos", "s"))
+    return rows.select(F.concat("doc_id", F.lit("#s"), F.col("pos").cast("string")).alias("section_id"), F.col("s.title").alias("title"), F.length("s.body").cast("long").alias("n_chars"))
+
+
+@query("SELECT section_id, section_title AS title, CAST(length(text) AS BIGINT) AS n_chars, array_to_string(entities, '|') AS entities FROM nodes", SECT)
+def section_nodes(spark, sf):
+    return nodes_of(spark, sf).select("section_id", F.col("section_title").alias("title"), F.length("text").cast("long").alias("n_chars"), joined("entities").alias("entities"))
+
+
+@query("SELECT src, dst FROM edges", SECT)
+def section_edges(spark, sf):
+    return sections.section_edges(nodes_of(spark, sf)).select("src", "dst")
+
+
+DEGREES = SECT + """, deg AS (SELECT src, count(*) AS n FROM edges GROUP BY src),
+ two AS (SELECT e.src AS s1, e.src_doc AS d1, e.dst AS s2, e.dst_doc AS d2 FROM edges e JOIN deg g ON g.src = e.src WHERE NOT (e.src_doc = e.dst_doc AND g.n > 1))"""
+THREE = DEGREES + """, three AS (SELECT t.*, e.dst AS s3, e.dst_doc AS d3 FROM two t JOIN edges e ON e.src = t.s2 JOIN deg g ON g.src = t.s2 WHERE e.dst <> t.s1 AND NOT (t.d1 = t.d2 AND e.dst_doc = t.d1 AND g.n > 1)),
+ cand AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY s1, d2, s2, d3, s3) AS ord FROM three QUALIFY ord <= 8000)"""
+
+
+def nodes_edges(spark, sf) -> tuple[DataFrame, DataFrame]:
+    nodes = nodes_of(spark, sf).persist()
+    return nodes, sections.section_edges(nodes).persist()
+
+
+def ordered_paths(found: DataFrame) -> DataFrame:
+    from pyspark.sql import Window
+
+    return found.select(joined("path").alias("path"), F.row_number().over(Window.orderBy("order")).alias("path_ord"))
+
+
+@query("SELECT s1 || '|' || s2 AS path, CAST(row_number() OVER (ORDER BY s1, d2, s2) AS INTEGER) AS path_ord FROM two QUALIFY path_ord <= 1000", DEGREES)
+def graph_paths_len2(spark, sf):
+    return ordered_paths(paths.sampled(*nodes_edges(spark, sf), length=2, most=1000, ranked=False))
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path, CAST(ord AS INTEGER) AS path_ord FROM cand", THREE)
+def graph_paths_len3(spark, sf):
+    return ordered_paths(paths.sampled(*nodes_edges(spark, sf), length=3, most=1000, multiplier=8))
+
+
+@query("SELECT section_id AS path, CAST(row_number() OVER (ORDER BY source_index, spos) AS INTEGER) AS path_ord FROM nodes QUALIFY path_ord <= 1000", SECT)
+def paths_len1(spark, sf):
+    return ordered_paths(paths.sampled(*nodes_edges(spark, sf), length=1, most=1000))
+
+
+@query("SELECT CAST(ord AS INTEGER) AS rank, s1 || '|' || s2 || '|' || s3 AS path FROM cand WHERE ord <= 1000", THREE)
+def paths_dfs(spark, sf):
+    nodes, edges = nodes_edges(spark, sf)
+    return ordered_paths(paths.sampled(nodes, edges, 3, 1000, ranked=False)).select(F.col("path_ord").alias("rank"), "path")
+
+
+# Entities of a path: keys in order of first occurrence; the corpus's keys are their own surfaces.
+DESCRIBED = THREE + """, spread AS (SELECT ord, s, k, unnest(n.entities) AS key, generate_subscripts(n.entities, 1) AS j FROM (SELECT ord, unnest([s1, s2, s3]) AS s, unnest([1, 2, 3]) AS k FROM cand) c JOIN nodes n ON n.section_id = c.s),
+ pkeys AS (SELECT ord, key, min(k * 100 + j) AS place, count(*) AS n FROM spread GROUP BY ord, key),
+ plists AS (SELECT ord, list(key ORDER BY place) AS entities, coalesce(list(key ORDER BY place) FILTER (n > 1), []) AS shared FROM pkeys GROUP BY ord),
+ metrics AS MATERIALIZED (SELECT c.*, p.entities, p.shared, len(list_distinct([d1, d2, d3])) AS nd, len(p.entities) AS ne, len(p.shared) AS ns, (CASE WHEN d1 <> d2 THEN 1 ELSE 0 END + CASE WHEN d2 <> d3 THEN 1 ELSE 0 END) AS nx FROM cand c JOIN plists p USING (ord)),
+ scored AS MATERIALIZED (SELECT *, ns::DOUBLE * 3.0::DOUBLE + nd::DOUBLE * 1.5::DOUBLE + least(ne, 12)::DOUBLE * 0.25::DOUBLE + nx::DOUBLE * 0.75::DOUBLE AS bridge, nd::DOUBLE * 3.0::DOUBLE + ne::DOUBLE * 0.7::DOUBLE + ns::DOUBLE * 1.5::DOUBLE + 3::DOUBLE * 0.25::DOUBLE AS coverage FROM metrics),
+ best AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY bridge DESC, s1, s2, s3) AS rank FROM scored QUALIFY rank <= 1000)"""
+
+
+def best_paths(spark, sf, strategy: str = "bridge") -> DataFrame:
+    nodes, edges = nodes_edges(spark, sf)
+    found = paths.sampled(nodes, edges, 3, 1000, 8)
+    return paths.ranked(paths.described(found, nodes), strategy, 1000)
+
+
+@query("SELECT CAST(rank AS INTEGER) AS rank, s1 || '|' || s2 || '|' || s3 AS path, bridge AS score FROM best", DESCRIBED)
+def paths_bridge(spark, sf):
+    return best_paths(spark, sf).select(F.col("path_ord").alias("rank"), joined("section_ids").alias("path"), F.col("bridge").alias("score"))
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY coverage DESC, s1, s2, s3) AS INTEGER) AS rank, s1 || '|' || s2 || '|' || s3 AS path, coverage AS score FROM scored QUALIFY rank <= 1000", DESCRIBED)
+def paths_coverage(spark, sf):
+    return best_paths(spark, sf, "coverage").select(F.col("path_ord").alias("rank"), joined("section_ids").alias("path"), F.col("coverage").alias("score"))
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path, array_to_string(entities, '|') AS entities FROM best", DESCRIBED)
+def path_entities(spark, sf):
+    return best_paths(spark, sf).select(joined("section_ids").alias("path"), joined("entities").alias("entities"))
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path, array_to_string(shared, '|') AS shared FROM best", DESCRIBED)
+def path_shared(spark, sf):
+    return best_paths(spark, sf).select(joined("section_ids").alias("path"), joined("shared").alias("shared"))
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path, 3 AS section_count, CAST(nd AS INTEGER) AS doc_count, CAST(ne AS INTEGER) AS entity_count, CAST(ns AS INTEGER) AS shared_count, CAST(nx AS INTEGER) AS crossings, bridge, coverage FROM best", DESCRIBED)
+def path_metrics(spark, sf):
+    return best_paths(spark, sf).select(joined("section_ids").alias("path"), "section_count", "doc_count", "entity_count", "shared_count", "crossings", "bridge", "coverage")
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path FROM best WHERE ns >= 3", DESCRIBED)
+def path_min_shared(spark, sf):
+    return paths.path_tasks(best_paths(spark, sf), 3).select(joined("section_ids").alias("path"))
+
+
+CHUNK = "'[{i}] Document: ' || {n}.title || E'\\nSection: ' || {n}.section_title || E'\\nText:\\n' || {n}.text"
+PTASK = DESCRIBED + """, base AS MATERIALIZED (SELECT b.*, sha1(array_to_string(['sog-lite', s1 || ':' || a.source_sha256, s2 || ':' || c.source_sha256, s3 || ':' || d.source_sha256, array_to_string(b.entities, '|')], chr(31))) AS base_id,
+   """ + " || E'\\n' || ".join(CHUNK.format(i=i + 1, n=n) for i, n in enumerate("acd")) + """ AS block,
+   """ + " || E'\\n\\n' || ".join(f"'[{i + 1}] ' || {n}.title || ' / ' || {n}.section_title || E'\\n' || {n}.text" for i, n in enumerate("acd")) + """ AS context, length(a.text) + length(c.text) + length(d.text) AS n_chars
+  FROM best b JOIN nodes a ON a.section_id = s1 JOIN nodes c ON c.section_id = s2 JOIN nodes d ON d.section_id = s3),
+ styled AS MATERIALIZED (SELECT b.*, style, style_ord, CASE WHEN style = 'default' THEN base_id ELSE sha1('sog-lite' || chr(31) || base_id || chr(31) || style) END AS path_id FROM base b CROSS JOIN (VALUES ('default', 0), ('contrastive', 1)) s(style, style_ord) WHERE ns >= 1)"""
+STYLED = ("default", "contrastive")
+
+
+def path_task_rows(spark, sf) -> DataFrame:
+    return paths.path_tasks(best_paths(spark, sf), 1, STYLED)
+
+
+@query("SELECT path_id, s1 || '|' || s2 || '|' || s3 AS path, style FROM styled", PTASK)
+def path_styles(spark, sf):
+    return path_task_rows(spark, sf).select("path_id", joined("section_ids").alias("path"), "style")
+
+
+SUFFIX = "CASE WHEN style = 'contrastive' THEN E'\\n\\n" + prompts.STYLES["contrastive"] + "' ELSE '' END"
+
+
+@query(f"SELECT path_id, sha1(E'Source chunks:\\n\\n' || block || E'\\n\\nPath entities:\\n- ' || array_to_string(entities, E'\\n- ') || {SUFFIX}) AS prompt_sha1 FROM styled", PTASK)
+def path_prompts(spark, sf):
+    return path_task_rows(spark, sf).select("path_id", sha(prompts.path_prompt("chunks", "entities", "style")).alias("prompt_sha1"))
+
+
+GROUPS = PTASK + """, numbered AS (SELECT *, row_number() OVER (ORDER BY rank) - 1 AS no FROM base WHERE ns >= 1),
+ grouped AS (SELECT *, no // 3 AS group_no, count(*) OVER (PARTITION BY no // 3) AS whole, sum(n_chars) OVER (PARTITION BY no // 3 ORDER BY no) AS so_far FROM numbered),
+ kept AS MATERIALIZED (SELECT * FROM grouped WHERE whole = 3 AND (no % 3 = 0 OR so_far <= 6000)),
+ lc AS (SELECT CAST(group_no AS INTEGER) AS group_no, style, CAST(count(*) AS INTEGER) AS path_count, array_to_string(list(CASE WHEN style = 'default' THEN base_id ELSE sha1('sog-lite' || chr(31) || base_id || chr(31) || style) END ORDER BY no), '|') AS ids FROM kept CROSS JOIN (VALUES ('default'), ('contrastive')) s(style) GROUP BY ALL)"""
+
+
+@query("SELECT group_no, style, sha1('long-context' || chr(31) || ids || CASE WHEN style = 'default' THEN '' ELSE chr(31) || style END) AS long_context_id, path_count FROM lc", GROUPS)
+def long_context_groups(spark, sf):
+    rows = paths.long_context_tasks(best_paths(spark, sf), 3, 6000, STYLED)
+    return rows.select("group_no", "style", "long_context_id", F.size("paths").alias("path_count"))
+
+
+@query("SELECT CAST(group_no AS INTEGER) AS group_no, string_agg(s1 || '|' || s2 || '|' || s3, ' ; ' ORDER BY no) AS kept FROM kept GROUP BY group_no", GROUPS)
+def long_context_trim(spark, sf):
+    rows = paths.long_context_tasks(best_paths(spark, sf), 3, 6000)
+    return rows.select("group_no", F.array_join(F.transform("paths", lambda p: F.array_join(p["section_ids"], "|")), " ; ").alias("kept"))
+
+
+@query("SELECT sha1('longfaith-qa' || chr(31) || path_id) AS qa_id, path_id FROM styled", PTASK)
+def qa_tasks(spark, sf):
+    return paths.qa_tasks(path_task_rows(spark, sf)).select("qa_id", "path_id")
+
+
+@query("SELECT sha1('longfaith-qa' || chr(31) || path_id) AS qa_id, array_to_string((CASE WHEN ns > 0 THEN shared ELSE entities END)[1:3], '|') AS targets FROM styled", PTASK)
+def qa_targets(spark, sf):
+    return paths.qa_tasks(path_task_rows(spark, sf)).select("qa_id", joined("target_entities").alias("targets"))
+
+
+@query("SELECT s1 || '|' || s2 || '|' || s3 AS path, sha1(context) AS context_sha1 FROM base", PTASK)
+def cited_context(spark, sf):
+    return best_paths(spark, sf).select(joined("section_ids").alias("path"), sha(prompts.cited_context("chunks")).alias("context_sha1"))
+
+
+ANSWERS = DOCS + """, answers AS (SELECT doc_id, source_index % 4 AS kind, 'Why ' || doc_id || '?' AS question, '{"question": "Why ' || doc_id || '?", "answer": "a", "reasoning": "[1] [2]", "support_ids": ["1", "2"]}' AS body FROM docs)"""
+
+
+@query("SELECT doc_id, kind <> 3 AS ok, CASE WHEN kind <> 3 THEN question END AS question FROM answers", ANSWERS)
+def parse_responses(spark, sf):
+    """Answers in a fence, bare, after other words, and broken."""
+    d = corpus(spark, sf).select("doc_id", (F.col("source_index") % 4).alias("kind"))
+    body = F.concat(F.lit('{"question": "Why '), "doc_id", F.lit('?", "answer": "a", "reasoning": "[1] [2]", "support_ids": ["1", "2"]}'))
+    raw = F.when(F.col("kind") == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(F.col("kind") == 1, body).when(F.col("kind") == 2, F.concat(F.lit("Sure: "), body, F.lit(" done"))).otherwise(F.concat(F.lit("{broken "), body))
+    found = generate.parsed_qa(d.select(F.col("doc_id").alias("key"), raw.alias("answer"), F.lit(None).cast("string").alias("failure")))
+    return found.select(F.col("key").alias("doc_id"), F.col("failure").isNull().alias("ok"), F.when(F.col("failure").isNull(), F.col("question")).alias("question"))
+
+
+@query(f"""SELECT 'single_doc' AS mode, sha1('single-doc' || chr(31) || doc_id || chr(31) || source_sha256 || chr(31) || '2' || chr(31) || e1 || '|' || e2) AS id FROM ({PAIRS}) JOIN docs USING (doc_id)
+ UNION ALL SELECT 'cross_doc', sha1('cross-doc' || chr(31) || doc_a || chr(31) || a.source_sha256 || chr(31) || doc_b || chr(31) || b.source_sha256 || chr(31) || array_to_string(keys, '|')) FROM (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, list(a.key ORDER BY a.key)[1:12] AS keys FROM ents a JOIN ents b ON a.key = b.key AND a.doc_id < b.doc_id GROUP BY ALL) JOIN docs a ON a.doc_id = doc_a JOIN docs b ON b.doc_id = doc_b
+ UNION ALL SELECT 'sog_lite', path_id FROM styled UNION ALL SELECT 'long_context', sha1('long-context' || chr(31) || ids || CASE WHEN style = 'default' THEN '' ELSE chr(31) || style END) FROM lc
+ UNION ALL SELECT 'longfaith_qa', sha1('longfaith-qa' || chr(31) || path_id) FROM styled""", GROUPS)
+def all_modes_tasks(spark, sf):
+    d = with_ents(spark, sf)
+    found = best_paths(spark, sf).persist()
+    tasks = paths.path_tasks(found, 1, STYLED)
+    parts = {"single_doc": combos.relation_tasks(d, (2,)).select(F.col("relation_id").alias("id")), "cross_doc": crossdoc.cross_doc_tasks(d, d).select(F.col("graph_id").alias("id")), "sog_lite": tasks.select(F.col("path_id").alias("id")), "long_context": paths.long_context_tasks(found, 3, 6000, STYLED).select(F.col("long_context_id").alias("id")), "longfaith_qa": paths.qa_tasks(tasks).select(F.col("qa_id").alias("id"))}
+    out = None
+    for mode, rows in parts.items():
+        rows = rows.select(F.lit(mode).alias("mode"), "id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
