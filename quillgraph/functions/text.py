@@ -160,5 +160,17 @@ def stable_id(*parts: str | Column) -> Column:
 
 
 def round4(x: Column) -> Column:
-    """Rounded half to even to four places, for reports; what is compared stays unrounded."""
-    return F.bround(x, 4)
+    """Rounded to four places as Python rounds: by the exact binary value, halves to even.
+
+    x times 10,000 is split into its double and the rest that the double lacks (x in two parts of 26 bits each times 10,000 is
+    exact), and the rest decides where the double lies half way.
+    """
+    p = x * 10000.0
+    c = x * 134217729.0
+    high = c - (c - x)
+    rest = (high * 10000.0 - p) + (x - high) * 10000.0
+    low = F.floor(p).cast("double")
+    half = p - low
+    up = (half > 0.5) | ((half == 0.5) & ((rest > 0) | ((rest == 0) & (F.pmod(low, F.lit(2.0)) == 1.0))))
+    down = (half == 0.0) & (rest < 0)
+    return F.when(down, low).when(up, low + 1.0).otherwise(low) / 10000.0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import combos, compare, crossdoc, entities, evaluate, generate, paths, prompts, sections
+from ..sources.offline import OfflineClient
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -196,10 +197,11 @@ def doc_entities(spark, sf):
     return entities.with_entities(d, records).select("doc_id", F.size("entities").cast("long").alias("n_entities"), joined("entities").alias("entities_joined"))
 
 
-@query("SELECT doc_id, CAST(NULL AS VARCHAR) AS summary, array_to_string(entities, '|') AS entities_joined FROM lists", ENTS)
+@query("SELECT doc_id, 'Title: ' || title AS summary, coalesce(array_to_string(entities, '|'), '') AS entities_joined FROM docs LEFT JOIN lists USING (doc_id)", ENTS)
 def extract_entities(spark, sf):
-    d = with_ents(spark, sf)
-    return d.select("doc_id", F.lit(None).cast("string").alias("summary"), joined("entities").alias("entities_joined"))
+    """Through the chat operator, with the client that needs no model."""
+    rows = generate.extracted(corpus(spark, sf), OfflineClient)
+    return rows.select("doc_id", "summary", joined("entities").alias("entities_joined"))
 
 
 @query("SELECT key, count(DISTINCT doc_id) AS df FROM ents GROUP BY key", ENTS)
@@ -585,3 +587,263 @@ def all_modes_tasks(spark, sf):
         rows = rows.select(F.lit(mode).alias("mode"), "id")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# Calls of the chat operator.
+
+
+def answered(tasks: DataFrame, key: str, system: str, prompt: Column) -> DataFrame:
+    rows = tasks.select(F.col(key).alias("key"), F.lit(system).alias("system"), prompt.alias("prompt"))
+    return generate.with_answers(rows, OfflineClient).select(F.col("key").alias("id"), F.col("answer").alias("text"))
+
+
+@query("SELECT relation_id AS id, 'Echo: Title: ' || title AS text FROM rel", REL)
+def generate_single_doc(spark, sf):
+    return answered(relations(spark, sf), "relation_id", prompts.PAIR, prompts.relation_prompt("title", "text", "entities"))
+
+
+@query("SELECT graph_id AS id, 'Echo: Article A Title: ' || ta AS text FROM graph", GRAPH)
+def generate_cross_doc(spark, sf):
+    d = with_ents(spark, sf)
+    return answered(crossdoc.cross_doc_tasks(d, d), "graph_id", prompts.CROSS, prompts.cross_prompt("a.title", "a.text", "b.title", "b.text", "shared"))
+
+
+@query("SELECT path_id AS id, 'Echo: Source chunks:' AS text FROM styled", PTASK)
+def generate_sog_lite(spark, sf):
+    return answered(path_task_rows(spark, sf), "path_id", prompts.PATH, prompts.path_prompt("chunks", "entities", "style"))
+
+
+@query("SELECT sha1('long-context' || chr(31) || ids || CASE WHEN style = 'default' THEN '' ELSE chr(31) || style END) AS id, 'Echo: Connected graph paths:' AS text FROM lc", GROUPS)
+def generate_long_context(spark, sf):
+    rows = paths.long_context_tasks(best_paths(spark, sf), 3, 6000, STYLED)
+    return answered(rows, "long_context_id", prompts.LONG, prompts.long_prompt("paths", "entities", "style"))
+
+
+@query("SELECT sha1('longfaith-qa' || chr(31) || path_id) AS id, sha1('### Context' || chr(10) || context || E'\\n\\n### Question\\nWhat links the chunks?\\n\\n### Answer\\nWhat they share.\\n\\n### Cited reasoning\\nSee [1] and [2].') AS text_sha1, '1|2' AS support FROM styled", PTASK)
+def generate_longfaith_qa(spark, sf):
+    rows = paths.qa_tasks(path_task_rows(spark, sf)).withColumn("context", prompts.cited_context("chunks"))
+    tasks = rows.select(F.col("qa_id").alias("key"), F.lit(prompts.QA).alias("system"), prompts.qa_prompt("chunks", "entities", "target_entities", "style").alias("prompt"))
+    found = generate.parsed_qa(generate.with_answers(tasks, OfflineClient, json_object=True))
+    out = found.join(rows.select(F.col("qa_id").alias("key"), "context"), "key")
+    return out.select(F.col("key").alias("id"), sha(prompts.qa_text("question", "answer_text", "reasoning", "context")).alias("text_sha1"), joined("support_ids").alias("support"))
+
+
+@query("""SELECT 'single_doc' AS mode, count(*) AS considered, count(*) FILTER (relation_id >= '8' OR relation_id < '1') AS tasks, count(*) FILTER (relation_id < '8' AND relation_id >= '1') AS skipped,
+ count(*) FILTER (relation_id >= '8' AND relation_id < 'f' OR relation_id < '1') AS generated, count(*) FILTER (relation_id >= 'f') AS failed FROM rel""", REL)
+def run_stats(spark, sf):
+    """Counts of a resumed run in which some rows are done, some had failed, and some fail now."""
+    rows = relations(spark, sf).select("relation_id")
+    todo = resume_anti_join(spark, sf).withColumns({"todo": F.lit(True), "error": F.when(F.col("relation_id") >= "f", "failed")})
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).cast("long")
+    both = rows.join(todo, "relation_id", "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
+    return both.agg(F.lit("single_doc").alias("mode"), F.count("*").alias("considered"), count(F.col("todo")).alias("tasks"), count(~F.col("todo")).alias("skipped"), count(F.col("todo") & F.col("error").isNull()).alias("generated"), count(F.col("error").isNotNull()).alias("failed"))
+
+
+# Evaluation, of rows made from the corpus: one for each document in ASCII with entities, of four modes, some of them bad.
+
+
+def ascii_docs(spark, sf) -> DataFrame:
+    return with_ents(spark, sf).where(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]")))
+
+
+def generated_rows(spark, sf) -> DataFrame:
+    i = F.col("source_index")
+    kind, e1, e2 = i % 4, F.col("entities")[0], F.coalesce(F.try_element_at("entities", F.lit(2)), F.lit("nothing"))
+    names = F.when(i % 6 == 0, " Grand Gamma Unit and Alpha Beta met Alpha Beta.").otherwise("")
+    body = F.concat(F.lit("### Discussion of "), e1, F.lit("\n"), F.substring("text", 1, 300), F.lit("\n### Interaction\n"), e1, F.lit(" is connected with "), e2, F.lit(" because of shared context."), names, F.lit("\n\n### Context\nThe Context Discussion."))
+    body = F.when(i % 20 == 5, "").when(i % 12 == 7, F.col("text")).otherwise(body)
+    rel = lambda k, p: F.when(kind == k, F.concat(F.lit(p), i.cast("string")))
+    none = F.lit(None)
+    modes = F.when(kind == 0, "single_doc").when(kind == 1, "cross_doc").when(kind == 2, "sog_lite").otherwise("longfaith_qa")
+    return ascii_docs(spark, sf).select(
+        i.alias("row_index"), rel(0, "r").alias("relation_id"), rel(1, "g").alias("graph_id"), F.when(kind >= 2, F.concat(F.lit("p"), i.cast("string"))).alias("path_id"), none.cast("string").alias("long_context_id"), rel(3, "q").alias("qa_id"),
+        F.when(kind == 0, F.col("doc_id")).alias("doc_id"),
+        F.when((kind == 1) & (i % 3 == 0), F.array("doc_id", "doc_id")).when(kind == 1, F.array(F.col("doc_id"), (i + 1).cast("string"))).when(kind >= 2, F.array("doc_id")).alias("doc_ids"),
+        F.when(i % 9 != 0, F.col("title")).alias("title"), "entities",
+        F.when((kind == 1) | (kind == 2), F.slice("entities", 1, 2)).alias("shared_entities"), F.when(kind == 3, F.slice("entities", 1, 3)).alias("target_entities"),
+        F.when(i % 5 == 0, modes).alias("generation_mode"), none.cast("string").alias("task_type"), F.when(i % 7 == 0, "contrastive").alias("style"),
+        F.when(kind == 3, F.concat(F.lit(" Why "), e1, F.lit("? "))).alias("question"), F.when(kind == 3, body).alias("answer"), F.when(kind == 3, F.when(i % 8 == 3, "First [1], then [2].").otherwise("Only [1] and [1].")).alias("reasoning"), F.when(kind == 3, F.array(F.lit("[1]"), F.lit(" 2 "))).alias("support_ids"),
+        F.when(kind != 3, body).alias("text"), F.when(i % 13 == 0, "failed").alias("error"),
+    )
+
+
+def evaluation(spark, sf) -> DataFrame:
+    found = evaluate.sources(ascii_docs(spark, sf))
+    return evaluate.evaluated(generated_rows(spark, sf), found)
+
+
+def rounded(x: str) -> str:
+    """SQL of round4()."""
+    p, c = f"({x} * 10000.0::DOUBLE)", f"({x} * 134217729.0::DOUBLE)"
+    high = f"({c} - ({c} - {x}))"
+    rest = f"(({high} * 10000.0::DOUBLE - {p}) + ({x} - {high}) * 10000.0::DOUBLE)"
+    up = f"({p} - floor({p}) > 0.5 OR ({p} - floor({p}) = 0.5 AND ({rest} > 0 OR ({rest} = 0 AND floor({p}) % 2 = 1))))"
+    return f"((CASE WHEN {p} = floor({p}) AND {rest} < 0 THEN floor({p}) WHEN {up} THEN floor({p}) + 1 ELSE floor({p}) END) / 10000.0::DOUBLE)"
+
+
+STOP = "(" + ", ".join(f"'{w}'" for w in evaluate.STOPWORDS) + ")"
+TERMS = "(" + ", ".join(f"'{w}'" for w in evaluate.RELATION_TERMS) + ")"
+GEN = ENTS + f""", adocs AS MATERIALIZED (SELECT d.*, l.entities FROM docs d JOIN lists l USING (doc_id) WHERE {ASCII.format('text')}),
+ gen0 AS (SELECT *, source_index AS i, source_index % 4 AS kind, entities[1] AS e1, coalesce(entities[2], 'nothing') AS e2 FROM adocs),
+ gen1 AS (SELECT *, CASE WHEN i % 20 = 5 THEN '' WHEN i % 12 = 7 THEN text ELSE '### Discussion of ' || e1 || chr(10) || substr(text, 1, 300) || E'\n### Interaction\n' || e1 || ' is connected with ' || e2 || ' because of shared context.' || CASE WHEN i % 6 = 0 THEN ' Grand Gamma Unit and Alpha Beta met Alpha Beta.' ELSE '' END || E'\n\n### Context\nThe Context Discussion.' END AS body0 FROM gen0),
+ gen AS MATERIALIZED (SELECT i AS row_index, CASE kind WHEN 0 THEN 'single_doc' WHEN 1 THEN 'cross_doc' WHEN 2 THEN 'sog_lite' ELSE 'longfaith_qa' END AS mode, substr('rgpq', CAST(kind AS INTEGER) + 1, 1) || i AS generated_id,
+  CASE WHEN kind = 1 AND i % 3 = 0 THEN [doc_id, doc_id] WHEN kind = 1 THEN [doc_id, CAST(i + 1 AS VARCHAR)] ELSE [doc_id] END AS ids, CASE kind WHEN 0 THEN entities WHEN 3 THEN entities[1:3] ELSE entities[1:2] END AS selected,
+  CASE WHEN kind <> 3 THEN body0 ELSE 'Why ' || e1 || '?' || CASE WHEN body0 = '' THEN '' ELSE E'\n\n' || body0 END || E'\n\n' || CASE WHEN i % 8 = 3 THEN 'First [1], then [2].' ELSE 'Only [1] and [1].' END END AS body,
+  CASE WHEN kind <> 3 OR i % 8 = 3 THEN 2 ELSE 1 END AS n_cited, CASE WHEN i % 9 <> 0 THEN title END AS title, i % 13 = 0 AS failed, CASE WHEN i % 13 = 0 THEN 'failed' END AS error, entities, kind, CASE WHEN i % 7 = 0 THEN 'contrastive' ELSE 'default' END AS style, body0 FROM gen1),
+ gtok AS MATERIALIZED (SELECT row_index, {toks('body')} AS toks FROM gen), gnorm AS (SELECT row_index, toks, array_to_string(toks, ' ') AS norm FROM gtok),
+ gwords AS (SELECT row_index, unnest(toks) AS w, generate_subscripts(toks, 1) AS i FROM gtok),
+ src AS MATERIALIZED (SELECT a.doc_id, array_to_string(t.toks, ' ') AS norm, a.entities AS keys, list_transform(list_filter(regexp_extract_all(a.title || chr(10) || a.text, '{PROPER}'), lambda p: contains(p, ' ') AND p NOT IN {HEADS}), lambda p: {norm('p')}) AS names FROM adocs a JOIN tok t USING (doc_id)),
+ gids AS (SELECT row_index, unnest(ids) AS doc_id, generate_subscripts(ids, 1) AS p FROM gen), gsrc AS MATERIALIZED (SELECT g.row_index, g.p, s.* FROM gids g JOIN src s USING (doc_id)),
+ sel AS (SELECT row_index, mode, unnest(selected) AS e FROM gen),
+ sup AS (SELECT s.row_index, s.mode, s.e, count(g.doc_id) AS nd, count(*) FILTER (g.doc_id IS NOT NULL AND (list_contains(g.keys, s.e) OR contains(g.norm, s.e))) AS nh FROM sel s LEFT JOIN gsrc g USING (row_index) GROUP BY ALL),
+ support AS (SELECT row_index, CAST(count(*) AS BIGINT) AS n_selected, CAST(count(*) FILTER (CASE WHEN mode = 'cross_doc' THEN nh = nd ELSE nh > 0 END) AS BIGINT) AS n_supported FROM sup GROUP BY row_index),
+ mention AS (SELECT s.row_index, CAST(count(*) FILTER (contains(n.norm, s.e)) AS BIGINT) AS n_mentioned FROM sel s JOIN gnorm n USING (row_index) GROUP BY s.row_index),
+ phr0 AS (SELECT row_index, unnest(l) AS phrase, generate_subscripts(l, 1) AS i FROM (SELECT row_index, regexp_extract_all(body, '{PROPER}') AS l FROM gen)),
+ phr AS (SELECT row_index, phrase, i, {norm('phrase')} AS key FROM phr0 WHERE phrase NOT IN {HEADS} AND (contains(phrase, ' ') OR phrase IN ('LLM', 'CPT')) AND len(list_filter(regexp_split_to_array(phrase, '\\s+'), lambda w: w NOT IN {HEADS})) > 0),
+ allowed AS (SELECT row_index, e AS key FROM sel UNION SELECT row_index, unnest(keys) FROM gsrc UNION SELECT row_index, unnest(names) FROM gsrc),
+ unsup AS MATERIALIZED (SELECT row_index, phrase, i FROM phr ANTI JOIN allowed USING (row_index, key) QUALIFY row_number() OVER (PARTITION BY row_index, key ORDER BY i) = 1),
+ nouns AS (SELECT row_index, count(*) AS n, string_agg(phrase, '|' ORDER BY i) AS phrases FROM unsup GROUP BY row_index),
+ ggrams AS MATERIALIZED (SELECT DISTINCT row_index, g FROM (SELECT row_index, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS g FROM gwords WINDOW o AS (PARTITION BY row_index ORDER BY i)) WHERE g IS NOT NULL),
+ sgrams AS MATERIALIZED (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS g FROM words SEMI JOIN adocs USING (doc_id) WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE g IS NOT NULL),
+ over1 AS (SELECT row_index, p, count(*) AS n FROM gids JOIN ggrams USING (row_index) JOIN sgrams USING (doc_id, g) GROUP BY row_index, p),
+ grams AS (SELECT g.row_index, CAST(g.n AS BIGINT) AS n_grams, CAST(coalesce(o.n, 0) AS BIGINT) AS n_shared FROM (SELECT row_index, count(*) AS n FROM ggrams GROUP BY row_index) g LEFT JOIN (SELECT row_index, max(n) AS n FROM over1 GROUP BY row_index) o USING (row_index)),
+ tokc AS (SELECT row_index, count(*) AS n_tokens, count(*) FILTER (w NOT IN {STOP}) AS n_content, count(DISTINCT w) FILTER (w IN {TERMS}) AS n_terms FROM gwords GROUP BY row_index),
+ missing AS (SELECT g.row_index, count(*) - count(s.doc_id) AS n FROM gids g LEFT JOIN src s USING (doc_id) GROUP BY g.row_index),
+ m AS MATERIALIZED (SELECT g.*, n_selected, n_supported, n_mentioned, coalesce(u.n, 0) AS n_unsupported, coalesce(u.phrases, '') AS phrases, coalesce(n_grams, 0) AS n_grams, coalesce(r.n_shared, 0) AS n_shared, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_content, 0) AS n_content, coalesce(n_terms, 0) AS n_terms, x.n AS n_missing,
+  CAST(len(regexp_extract_all(body, '(?m)^###\\s+')) AS BIGINT) AS n_headings, CAST(len(list_filter(string_split(body, chr(10)), lambda l: regexp_replace(l, '\\s', '', 'g') <> '')) AS BIGINT) AS n_lines
+  FROM gen g JOIN support USING (row_index) JOIN mention USING (row_index) JOIN missing x USING (row_index) LEFT JOIN nouns u USING (row_index) LEFT JOIN grams r USING (row_index) LEFT JOIN tokc USING (row_index)),
+ f1 AS (SELECT *, CASE WHEN n_selected > 0 THEN n_supported::DOUBLE / n_selected::DOUBLE ELSE 0 END AS support_, CASE WHEN n_selected > 0 THEN n_mentioned::DOUBLE / n_selected::DOUBLE ELSE 0 END AS mention_, greatest(0::DOUBLE, least(1::DOUBLE, 1.0::DOUBLE - n_unsupported::DOUBLE / 5.0::DOUBLE)) AS nouns_, CASE WHEN n_grams > 0 THEN n_shared::DOUBLE / n_grams::DOUBLE ELSE 0 END AS overlap_ FROM m),
+ f2 AS (SELECT *, greatest(0::DOUBLE, least(1::DOUBLE, 1.0::DOUBLE - greatest(0::DOUBLE, overlap_ - 0.25::DOUBLE) / 0.5::DOUBLE)) AS redundancy_, greatest(0::DOUBLE, least(1::DOUBLE, n_terms::DOUBLE / 4.0::DOUBLE * 0.6::DOUBLE + mention_ * 0.4::DOUBLE)) AS relation_,
+  CASE WHEN n_content > 0 THEN greatest(0::DOUBLE, least(1::DOUBLE, n_mentioned::DOUBLE / n_content::DOUBLE * 8.0::DOUBLE)) ELSE 0 END AS specificity_, CASE WHEN body = '' THEN 0 ELSE greatest(0::DOUBLE, least(1::DOUBLE, least(n_headings, 3)::DOUBLE * 0.5::DOUBLE / 3.0::DOUBLE + least(n_lines, 4)::DOUBLE * 0.5::DOUBLE / 4.0::DOUBLE)) END AS structure_,
+  CASE WHEN n_tokens < 20 THEN n_tokens::DOUBLE / 20.0::DOUBLE WHEN n_tokens <= 700 THEN 1.0::DOUBLE ELSE greatest(0::DOUBLE, 1.0::DOUBLE - (n_tokens::DOUBLE - 700) / 700.0::DOUBLE) END AS length_, least(1.0::DOUBLE, n_cited::DOUBLE / 2.0::DOUBLE) AS citation_ FROM f1),
+ f3a AS (SELECT *, (support_ * 0.22::DOUBLE + mention_ * 0.18::DOUBLE + nouns_ * 0.18::DOUBLE + redundancy_ * 0.12::DOUBLE + relation_ * 0.12::DOUBLE + specificity_ * 0.08::DOUBLE + structure_ * 0.05::DOUBLE + length_ * 0.05::DOUBLE) AS raw_ FROM f2), f3 AS (SELECT *, {rounded('raw_')} AS all_ FROM f3a), f4 AS (SELECT *, all_ * 0.9::DOUBLE + citation_ * 0.1::DOUBLE AS qa_ FROM f3),
+ f AS MATERIALIZED (SELECT *, CASE WHEN mode = 'longfaith_qa' THEN {rounded('qa_')} ELSE all_ END AS overall_ FROM f4),
+ w AS MATERIALIZED (SELECT *, overall_ >= 0.75 AND support_ >= 0.95 AND mention_ >= 0.8 AND n_unsupported <= 2 AND overlap_ <= 0.65 AND citation_ >= 1 AND NOT failed AND body <> '' AS pass_gate,
+  list_filter([CASE WHEN failed THEN '{evaluate.WARNINGS['error']}' END, CASE WHEN n_missing <> 0 THEN '{evaluate.WARNINGS['missing']}' END, CASE WHEN body = '' THEN '{evaluate.WARNINGS['empty']}' END, CASE WHEN support_ < 0.95 THEN '{evaluate.WARNINGS['support']}' END, CASE WHEN mention_ < 0.8 THEN '{evaluate.WARNINGS['mention']}' END, CASE WHEN n_unsupported > 0 THEN '{evaluate.WARNINGS['nouns']}' END, CASE WHEN overlap_ > 0.65 THEN '{evaluate.WARNINGS['overlap']}' END, CASE WHEN citation_ < 1 THEN '{evaluate.WARNINGS['citation']}' END], lambda x: x IS NOT NULL) AS warnings FROM f)"""
+
+
+@query("SELECT row_index, mode FROM gen", GEN)
+def classify_mode(spark, sf):
+    return evaluate.classified(evaluate.wide(generated_rows(spark, sf))).select("row_index", "mode")
+
+
+@query("SELECT a.doc_id, CASE WHEN a.source_index % 3 = 0 THEN 'cached' ELSE array_to_string(a.entities, '|') END AS entities FROM adocs a", GEN)
+def eval_sources(spark, sf):
+    d = ascii_docs(spark, sf)
+    cache = d.where("source_index % 3 = 0").select("doc_id", F.array(F.lit("cached")).alias("entities"))
+    return evaluate.sources(d, cache).select("doc_id", joined("entities").alias("entities"))
+
+
+@query("SELECT row_index, array_to_string(selected, '|') AS selected FROM gen", GEN)
+def eval_selected_entities(spark, sf):
+    return evaluate.prepared(evaluate.wide(generated_rows(spark, sf))).select("row_index", joined("selected").alias("selected"))
+
+
+@query("SELECT row_index, CAST(len(ids) AS BIGINT) AS n_ids, n_missing FROM m", GEN)
+def eval_join_sources(spark, sf):
+    return evaluation(spark, sf).select("row_index", F.size("ids").cast("long").alias("n_ids"), "n_missing")
+
+
+@query("SELECT row_index, n_supported, n_selected, n_mentioned FROM m", GEN)
+def eval_support(spark, sf):
+    return evaluation(spark, sf).select("row_index", "n_supported", "n_selected", "n_mentioned")
+
+
+@query("SELECT row_index, phrases FROM m", GEN)
+def eval_unsupported(spark, sf):
+    return evaluation(spark, sf).select("row_index", joined("unsupported").alias("phrases"))
+
+
+@query("SELECT row_index, n_shared, n_grams FROM m", GEN)
+def eval_ngram_overlap(spark, sf):
+    return evaluation(spark, sf).select("row_index", F.col("n_shared_grams").alias("n_shared"), "n_grams")
+
+
+@query("SELECT row_index, n_mentioned AS n_entity_tokens, n_content, n_terms, n_headings, n_lines, n_tokens FROM m", GEN)
+def eval_specificity(spark, sf):
+    return evaluation(spark, sf).select("row_index", "n_entity_tokens", "n_content", "n_terms", "n_headings", "n_lines", "n_tokens")
+
+
+@query("SELECT row_index, pass_gate, CAST(round(overall_ * 10000) AS BIGINT) AS overall FROM w", GEN)
+def eval_gate(spark, sf):
+    return evaluation(spark, sf).select("row_index", "pass_gate", F.round(F.col("overall") * 10000).cast("long").alias("overall"))
+
+
+@query("SELECT row_index, array_to_string(warnings, '|') AS warnings FROM w", GEN)
+def eval_warnings(spark, sf):
+    return evaluation(spark, sf).select("row_index", joined("warnings").alias("warnings"))
+
+
+@query("SELECT mode, count(*) AS n FROM w GROUP BY mode", GEN)
+def eval_rows_by_mode(spark, sf):
+    return evaluate.rows_by_mode(evaluation(spark, sf))
+
+
+FOUR = {"overall": "overall_", "selected_entity_support": "support_", "selected_entity_mention": "mention_", "unsupported_proper_noun_score": "nouns_", "redundancy_score": "redundancy_", "source_5gram_overlap": "overlap_", "relation_signal": "relation_", "specificity": "specificity_", "structure": "structure_", "length": "length_", "citation_support": "citation_"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS score, count(*) AS n, CAST(sum(CAST(floor({v} * 10000 + 0.5) AS BIGINT)) AS BIGINT) AS total, CAST(floor(min({v}) * 10000 + 0.5) AS BIGINT) AS least, CAST(floor(max({v}) * 10000 + 0.5) AS BIGINT) AS most FROM w" for k, v in FOUR.items()), GEN)
+def eval_score_summary(spark, sf):
+    """The sums that means are made of, at four decimals."""
+    pairs = ", ".join(f"'{c}', `{c}`" for c in FOUR)
+    rows = evaluation(spark, sf).selectExpr(f"stack({len(FOUR)}, {pairs}) as (score, value)")
+    at4 = lambda x: F.floor(x * 10000 + 0.5).cast("long")
+    return rows.groupBy("score").agg(F.count("*").alias("n"), F.sum(at4(F.col("value"))).alias("total"), at4(F.min("value")).alias("least"), at4(F.max("value")).alias("most"))
+
+
+@query("SELECT warning, count(*) AS n FROM (SELECT unnest(warnings) AS warning FROM w) GROUP BY warning", GEN)
+def eval_warning_counts(spark, sf):
+    return evaluate.warning_counts(evaluation(spark, sf))
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (pass_gate) AS n_passed, count(*) FILTER (NOT pass_gate) AS n_failed FROM w", GEN)
+def eval_pass_rate(spark, sf):
+    return evaluate.pass_counts(evaluation(spark, sf))
+
+
+@query("""SELECT generated_id, CASE WHEN mode = 'cross_doc' THEN 'cross_doc_bridge' ELSE 'single_doc_entity' END AS probe_type, CASE WHEN mode = 'cross_doc' THEN 'Which source documents are connected by the shared entity ' || entity || '?' ELSE 'Which generated passage discusses ' || entity || ' in relation to the source document?' END AS question,
+ CASE WHEN mode = 'cross_doc' THEN array_to_string(ids, ', ') ELSE coalesce(title, ids[1]) END AS expected_answer, entity FROM (SELECT *, unnest(selected) AS entity FROM gen)""", GEN)
+def eval_probes(spark, sf):
+    return evaluate.probes(evaluate.prepared(evaluate.wide(generated_rows(spark, sf))))
+
+
+@query("SELECT row_index, generated_id, mode FROM w WHERE NOT pass_gate ORDER BY row_index LIMIT 25", GEN)
+def failed_rows_top25(spark, sf):
+    return evaluate.failed_rows(evaluation(spark, sf))
+
+
+# Comparisons.
+
+
+@query("""SELECT label, count(*) AS n_rows, count(*) FILTER (failed) AS n_errors, CAST(sum(len(warnings)) AS BIGINT) AS n_warnings, CAST(floor(avg(support_) * 1e6 + 0.5) AS BIGINT) AS support, CAST(floor(avg(relation_) * 1e6 + 0.5) AS BIGINT) AS relation FROM (SELECT *, CASE WHEN row_index % 3 = 0 THEN 'a' ELSE 'b' END AS label FROM w) GROUP BY label""", GEN)
+def compare_generation(spark, sf):
+    result = evaluation(spark, sf).withColumn("label", F.when(F.col("row_index") % 3 == 0, "a").otherwise("b"))
+    rows = compare.compare_generation(result)
+    return rows.select("label", "n_rows", "n_errors", "n_warnings", six(F.col("mean_selected_entity_support")).alias("support"), six(F.col("mean_relation_signal")).alias("relation"))
+
+
+@query(f"SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (SELECT count(*) AS n FROM (SELECT {norm('text')} AS k FROM docs) WHERE k <> '' GROUP BY k)", DOCS)
+def duplicate_texts(spark, sf):
+    return compare.duplicate_texts(corpus(spark, sf))
+
+
+@query("SELECT doc_id, n AS n_entities, CAST(n * (n - 1) // 2 AS BIGINT) AS n_2, CAST(n * (n - 1) * (n - 2) // 6 AS BIGINT) AS n_3 FROM (SELECT doc_id, count(*) AS n FROM ents GROUP BY doc_id)", ENTS)
+def combo_counts(spark, sf):
+    return compare.combo_counts(with_ents(spark, sf))
+
+
+@query("SELECT key, count(*) AS n_docs, string_agg(doc_id, '|' ORDER BY doc_id) AS docs FROM ents GROUP BY key HAVING count(*) > 1", ENTS)
+def entity_overlap(spark, sf):
+    return compare.entity_overlap(with_ents(spark, sf)).select("key", "n_docs", joined("docs").alias("docs"))
+
+
+@query("SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS n FROM ents a JOIN ents b ON a.key = b.key AND a.doc_id < b.doc_id GROUP BY ALL", ENTS)
+def entity_overlap_pairs(spark, sf):
+    return compare.entity_overlap_pairs(with_ents(spark, sf))
+
+
+@query("""SELECT measure, CAST(n AS BIGINT) AS value FROM (SELECT 'rows:' || CASE kind WHEN 0 THEN 'single' ELSE 'cross' END AS measure, count(*) AS n FROM gen WHERE kind < 2 GROUP BY ALL
+ UNION ALL SELECT 'failed', count(*) FROM gen WHERE kind < 2 AND failed HAVING count(*) > 0 UNION ALL SELECT 'size:' || len(entities), count(*) FROM gen WHERE kind = 0 GROUP BY ALL UNION ALL SELECT 'shared:' || len(selected), count(*) FROM gen WHERE kind = 1 GROUP BY ALL
+ UNION ALL SELECT 'distinct combos', count(DISTINCT ids[1] || '|' || array_to_string(entities, '|')) FROM gen WHERE kind = 0 UNION ALL SELECT 'distinct pairs', count(DISTINCT array_to_string(ids, '|')) FROM gen WHERE kind = 1)""", GEN)
+def generated_summary(spark, sf):
+    return compare.generated_summary(evaluate.wide(generated_rows(spark, sf)).where("row_index % 4 < 2"))
