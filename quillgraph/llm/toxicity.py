@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import column, durable, slices
@@ -138,12 +138,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = counts.agg(F.sum("c0")).first()[0] or 1
     # Dirichlet prior: PRIOR texts with the word frequencies of the whole sample.
     n0, n1 = sizes[0], sizes[1]
-    prior = F.lit(PRIOR) * (F.col("d0") + F.col("d1")) / F.lit(float(n0 + n1))
-    a, b = F.col("d1") + prior, F.col("d0") + prior
+    seen = counts.withColumn("prior", F.lit(PRIOR) * (F.col("d0") + F.col("d1")) / F.lit(float(n0 + n1)))
+    a, b = F.col("d1") + F.col("prior"), F.col("d0") + F.col("prior")
     odds = F.log(a / (F.lit(n1 + PRIOR) - a)) - F.log(b / (F.lit(n0 + PRIOR) - b))
-    score = odds - 2 * F.sqrt(1 / a + 1 / b)
-    frequent = counts.where(F.col("d0") + F.col("d1") >= LEAST_TEXTS).select("word", "c0", score.alias("s")).where("s > 0.5")
-    rows = frequent.orderBy(F.desc("s"), "word").limit(VOCABULARY).collect()
+    likelier = seen.where(F.col("d0") + F.col("d1") >= LEAST_TEXTS).withColumn("s", odds - 2 * F.sqrt(1 / a + 1 / b)).where("s > 0.5")
+    found = {r.word: r for r in likelier.orderBy(F.desc("s"), "word").limit(VOCABULARY).collect()}
+    candidates = spark.sparkContext.broadcast(set(found))
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                got = set()
+                for text in column(batch, "text").to_pylist():
+                    w = ["", *WORD.findall(text.lower()), ""]
+                    got |= {(w[i], xxhash.xxh64_intdigest(f"{w[i - 1]} {w[i + 1]}") >> 1) for i in range(1, len(w) - 1) if w[i] in candidates.value}
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.int64())], ["word", "context"])
+
+    # Near copies repeat a word among the same neighbours. Such texts are one witness: a word has no more of them than it has pairs of neighbours.
+    pairs = sample.where("y = 1").mapInArrow(contexts, "word string, context long").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    rows = []
+    for r in pairs.collect():
+        f = found[r.word]
+        d1 = min(f.d1, r.n)
+        a, b = d1 + f.prior, f.d0 + f.prior
+        score = math.log(a / (n1 + PRIOR - a)) - math.log(b / (n0 + PRIOR - b)) - 2 * math.sqrt(1 / a + 1 / b)
+        if d1 >= LEAST_TEXTS and score > 0.5:
+            rows.append((r.word, score, f.c0))
+    rows = [Row(word=w, s=x, c0=c) for w, x, c in sorted(rows)]
     model = Model({r.word: r.s - DRIFT for r in rows})
     s = np.array([r.s - DRIFT for r in rows] + [-DRIFT])
     weights = np.array([float(r.c0) for r in rows] + [float(max(1, total - sum(r.c0 for r in rows)))])
