@@ -6,6 +6,7 @@ import os
 from collections import Counter
 
 import duckdb
+import pandas as pd
 import pytest
 
 from quillgraph.plans.registry import ORACLES, QUERIES
@@ -22,7 +23,7 @@ def connection():
 
 def rows(frame) -> Counter:
     columns = sorted(frame.columns)
-    clean = lambda v: None if v is None or v != v else v
+    clean = lambda v: None if v is None or pd.isna(v) else int(v) if isinstance(v, float) and v.is_integer() else v
     return Counter(repr(tuple(clean(v) for v in r)) for r in frame[columns].itertuples(index=False, name=None))
 
 
