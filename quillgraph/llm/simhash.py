@@ -129,6 +129,11 @@ def anchors_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return home, np.concatenate(index or [np.zeros(0, np.int64)]), np.concatenate(anchor or [np.zeros(0, np.int64)])
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of 64-bit numbers. Of signed ones numpy would count the absolute value's."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def stars(homes: np.ndarray, visits: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """member, centre: links that connect what is connected through pairs (home, visit) within the threshold; one for each visit, no more."""
     label = np.arange(len(homes))
@@ -139,7 +144,7 @@ def stars(homes: np.ndarray, visits: np.ndarray, threshold: int = THRESHOLD) ->
         before = label.copy()
         for lo in range(0, len(visits), step):
             part = visits[lo : lo + step]
-            near = np.bitwise_count(homes[:, None] ^ part[None, :]) <= threshold
+            near = differing(homes[:, None], part[None, :]) <= threshold
             to[lo : lo + step] = least = np.where(near, label[:, None], len(homes)).min(0)
             label = np.minimum(label, np.where(near, least[None, :], len(homes)).min(1))
         changed = not np.array_equal(before, label) and len(visits) > 0
