@@ -102,8 +102,9 @@ def judged(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source
     """
     # Written once with its row, so that texts are neither measured again for the second use nor shuffled to meet their measures.
     rows = durable(rates(measured(df, text_col, lang_col, source_col, carry)), "measures")
-    # As many rows as there are pairs of language and source, which nothing bounds: Spark measures it and broadcasts it only below its own threshold.
-    joined = rows.join(fences(rows), F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    # As many rows as there are pairs of language and source, which nothing bounds: written first, so that Spark knows its size when it plans the join and broadcasts it only below its own threshold.
+    limits = durable(fences(rows), "fences")
+    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     fine = F.lit(True)
     for m in MEASURES:
         fine = fine & F.coalesce(F.col(m) <= F.col(f"max_{m}"), F.lit(True))
