@@ -26,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    return simhash.keep_first(docs)
+    """One document, that with the smallest id, of each group of near copies: fingerprints within 2 bits, or five-word shingles with a similarity of 0.8 or more."""
+    return simhash.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ as pairs. Stars are then joined to components by alternating large-star and smal
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
@@ -236,12 +237,115 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of df, but of each component only those with its smallest id. Rows with a null id stay; rows that repeat an id stay or go together."""
-    found = near_duplicates(df, id_col, text_col, words, threshold)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return df.join(gone, id_col, "left_anti")
-
-
 def as_hex(fp: str = "fp"):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+# Similar texts, for stages that keep one of each group.
+
+#: Fingerprints of a text, of 46 bits each, and bits of the signature by which a cell's texts are told apart.
+TABLES, SIGNATURE, APART = 32, 128, 34
+LONGER = 5
+
+
+def _shingles(text: str, words: int) -> np.ndarray:
+    """Distinct hashes of a text's shingles, sorted; the whole sequence if it is shorter."""
+    parts = text.encode().lower().split()
+    n = max(1, len(parts) - words + 1) if parts else 0
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[i : i + words]), SEED) for i in range(n)), np.uint64, n))
+
+
+def sketches_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """cells [texts, TABLES] and signatures [texts, 2]: SimHashes over each text's distinct words."""
+    size = (TABLES * 2 * GOLAY_BITS + SIGNATURE) // 8
+    index: dict[bytes, int] = {}
+    sets = [[index.setdefault(w, len(index)) for w in set(t.encode().lower().split())] for t in texts]
+    raw = b"".join(hashlib.shake_128(w).digest(size) for w in index)
+    bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, size), axis=1, bitorder="little") if index else np.zeros((0, 8 * size), np.uint8)
+    sums = np.stack([2 * bits[s].sum(0, dtype=np.int32) > len(s) if s else np.zeros(8 * size, bool) for s in sets])
+    blocks = sums[:, : TABLES * 2 * GOLAY_BITS].reshape(-1, GOLAY_BITS) @ (1 << np.arange(GOLAY_BITS))
+    nearest = blocks ^ padded()[0][0][syndromes(blocks), 0]
+    pair = nearest.reshape(len(texts), TABLES, 2)
+    cells = np.arange(TABLES) << (2 * GOLAY_BITS) | pair[:, :, 1] << GOLAY_BITS | pair[:, :, 0]
+    return cells, np.packbits(sums[:, TABLES * 2 * GOLAY_BITS :], axis=1, bitorder="little").view("<u8")
+
+
+def cell_links(docs: DataFrame, words: int = LONGER) -> DataFrame:
+    """a, b, same: texts (a) and the first one (b) of their cell with a like signature; same if their shingles are equal.
+
+    Here an anchor is the codeword pair nearest to a fingerprint, and threshold 0: two similar texts have the same one in any
+    of the tables with some probability, and miss all of them with little. Texts of a cell are compared with its first ones only.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, most=1 << 20):
+                texts = column(batch, "text").to_pylist()
+                cells, signatures = sketches_of(texts)
+                digests = np.array([xxhash.xxh64_intdigest(_shingles(t, words).tobytes(), SEED) for t in texts], np.uint64)
+                ids = column(batch, "doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+                each = [np.repeat(x, TABLES) for x in (ids, digests.view(np.int64), signatures[:, 0].view(np.int64), signatures[:, 1].view(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), *map(pa.array, each)], ["cell", "doc_id", "digest", "s0", "s1"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("cell", "doc_id", "digest", "s0", "s1")
+        kept = [np.zeros(0, np.int64) for _ in names]
+        for batch in with_end(batches):
+            if batch is not None:
+                kept = [np.concatenate((x, column(batch, n).to_numpy())) for x, n in zip(kept, names, strict=True)]
+            cell = kept[0]
+            done = len(cell) if batch is None else int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+            part, kept = [x[:done] for x in kept], [x[done:].copy() for x in kept]
+            if not done:
+                continue
+            cell, ids, digests, s0, s1 = part
+            first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+            ends = np.append(first[1:], done)
+            out = []
+            for g in np.flatnonzero(ends - first > 1).tolist():
+                rest = np.arange(first[g], ends[g])
+                while len(rest) > 1:
+                    lead, others = rest[0], rest[1:]
+                    near = differing(s0[others], s0[lead]) + differing(s1[others], s1[lead]) <= APART
+                    hits = others[near]
+                    if len(hits):
+                        out.append((ids[hits], np.full(len(hits), ids[lead]), digests[hits] == digests[lead]))
+                    rest = others[~near]
+            if out:
+                a, b, same = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(same)], ["a", "b", "same"])
+
+    met = docs.mapInArrow(spread, "cell long, doc_id long, digest long, s0 long, s1 long")
+    links = met.repartition("cell").sortWithinPartitions("cell", "doc_id").mapInArrow(compare, "a long, b long, same boolean")
+    return links.where("a <> b").groupBy("a", "b").agg(F.max("same").alias("same"))
+
+
+def similar_links(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
+    """a, b: pairs of cell_links() whose shingles have a Jaccard similarity of at least similarity, by exact comparison."""
+    links = durable(cell_links(docs, words), "cells")
+    open_ = links.where("not same")
+    needed = open_.select(F.col("a").alias("doc_id")).union(open_.select(F.col("b").alias("doc_id"))).distinct()
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, most=1 << 20):
+                sets = [_shingles(t, words).view(np.int64) for t in column(batch, "text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    sets = docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(shingled, "doc_id long, shingles array<long>")
+    sets = durable(sets, "shingles")
+    one = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"_{n}"))
+    both = F.size(F.array_intersect("_a", "_b"))
+    near = open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both))
+    return links.where("same").select("a", "b").union(near.select("a", "b"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = LONGER, similarity: float = 0.8) -> DataFrame:
+    """The rows of df, but of each group only the one with the smallest id. A group is what two kinds of links connect: fingerprints within the threshold (near_duplicates), and Jaccard similarity of shingles of so many words from similarity on.
+
+    Ids are whole numbers. Rows with a null id stay; rows that repeat an id stay or go together. An empty table gives none.
+    """
+    docs = id_text(df, id_col, text_col).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prints = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    gone = components(similar_links(docs, words, similarity).union(prints)).where("node <> root").select(F.col("node").alias("_gone"))
+    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

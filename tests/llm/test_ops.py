@@ -454,3 +454,20 @@ def test_components(spark):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     assert all(got.get(x, x) == r for x, r in root.items())
+
+
+def test_keep_one(spark, odd, none):
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        for c in range(g % 4 + 1):
+            x = list(base)
+            for at in rng.integers(0, 300, 3 * (c > 0)):
+                x[at] = "changed"
+            rows.append((100 * g + c, " ".join(x)))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {100 * g for g in range(40)}
+    left = simhash.keep_one(odd)
+    assert left.columns == odd.columns and left.where("doc_id is null").count() == 1 and left.where("doc_id = 6").count() == 0
+    assert simhash.keep_one(none).count() == 0
