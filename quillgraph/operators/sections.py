@@ -46,11 +46,12 @@ def section_nodes(docs: DataFrame, max_chars: int = 1800) -> DataFrame:
     rows = rows.withColumn("_sections", placed)
     held = F.transform("_sections", lambda s: F.struct(s["pos"], s["title"], s["body"], F.filter("entities", lambda e, j: F.contains(s["key"], F.get("_keys", j))).alias("entities")))
     rows = rows.withColumn("_sections", F.filter(held, lambda s: F.size(s["entities"]) > 0))
-    rows = rows.withColumn("_cut", t.truncate_text(t.strip("text"), max_chars))
-    rows = rows.withColumn("_cutkey", t.entity_key("_cut"))
-    rows = rows.withColumn("_rest", F.filter("entities", lambda e, j: F.contains("_cutkey", F.get("_keys", j))))
-    whole = F.array(F.struct(F.lit(0).alias("pos"), F.col("title"), F.col("_cut").alias("body"), F.col("_rest").alias("entities")))
-    none = F.filter(whole, lambda s: (s["body"] != "") & (F.size(s["entities"]) > 0))
+    # Only for documents without such a section. An array of one element binds a value that lambdas then use without computing it anew.
+    def whole(cut: Column) -> Column:
+        held_by = lambda key: F.filter("entities", lambda e, j: F.contains(key, F.get("_keys", j)))
+        return F.transform(F.array(t.entity_key(cut)), lambda key: F.struct(F.lit(0).alias("pos"), F.col("title"), cut.alias("body"), held_by(key).alias("entities")))
+
+    none = F.filter(F.flatten(F.transform(F.array(t.truncate_text(t.strip("text"), max_chars)), whole)), lambda s: (s["body"] != "") & (F.size(s["entities"]) > 0))
     rows = rows.withColumn("_s", F.explode_outer(F.when(F.size("_sections") > 0, F.col("_sections")).otherwise(none))).where("_s is not null")
     section_id = F.concat("doc_id", F.lit("#s"), F.col("_s.pos").cast("string"))
     return rows.select(section_id.alias("section_id"), "doc_id", "source_index", "source_sha256", "title", F.col("_s.title").alias("section_title"), t.truncate_text("_s.body", max_chars).alias("text"), F.col("_s.entities").alias("entities"), F.col("_s.pos").alias("section_pos"))

@@ -53,7 +53,7 @@ def tasks_of(mode: str, docs: DataFrame, records: DataFrame, found: DataFrame |
         for size in (2, 3):
             system = F.when(F.col("combo_size") == size, prompts.relation_instruction(size)).otherwise(system)
         extra = [F.col("text").alias("source_text")] if config.include_source_text else []
-        out = rows.select(F.col(key), system.alias("system"), prompts.relation_prompt("title", "text", "entities").alias("prompt"), "doc_id", "source_index", "source_sha256", "title", "combo_size", "entities", F.concat(F.lit("entigraph_relation_"), F.col("combo_size").cast("string")).alias("prompt_name"), *extra)
+        out = rows.select(F.col(key), system.alias("system"), prompts.relation_prompt("title", "text", "entities").alias("prompt"), "doc_id", "source_index", "source_sha256", "title", "combo_size", "entities", F.concat(F.lit("relation_"), F.col("combo_size").cast("string")).alias("prompt_name"), *extra)
     elif mode == "cross-doc":
         rows = crossdoc.cross_doc_tasks(docs, records, config.min_shared, config.max_shared, config.max_pairs, config.sample_pairs, config.seed)
         both = lambda c: F.array(F.col(f"a.{c}"), F.col(f"b.{c}"))
