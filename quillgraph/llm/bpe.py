@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from .common import column, id_text, slices
 
 #: Entries of a worker's cache after which it starts anew, and characters of a key at most.
-CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
 #: What the byte-level pre-tokeniser's public pattern finds, for text before U+0250.
 EARLY_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\t-\r \x85\xa0\p{L}\p{N}]+|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+").findall
 PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]

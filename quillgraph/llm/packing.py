@@ -28,7 +28,7 @@ from .common import column, durable, id_text, partitions, slices
 
 #: Open bins of a task at most; tasks whose rests are packed again together.
 MAX_OPEN, FAN_IN = 1024, 64
-CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 250_000, 48
 #: What the vocabulary's public pattern finds in lower-cased text before U+0250.
 EARLY_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+").findall
 

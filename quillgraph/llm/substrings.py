@@ -27,7 +27,7 @@ from .common import column, durable, partitions, slices, text_bytes, word_spans
 WINDOW, PREFIX = 20, 8
 #: Odd multipliers of the rolling hashes (modulo 2^64): two over bytes, two over words.
 BYTE_BASES, WORD_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 20
 _POWERS: dict[int, np.ndarray] = {}
 
 
