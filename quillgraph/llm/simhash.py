@@ -245,6 +245,8 @@ def as_hex(fp: str = "fp"):
 
 #: Fingerprints of a text, of 46 bits each, and bits of the signature by which a cell's texts are told apart.
 TABLES, SIGNATURE, APART = 32, 128, 34
+#: Bytes of text whose words' hashes, 1600 bytes a word, are in memory at once.
+SKETCHED = 128 << 10
 LONGER = 5
 
 
@@ -279,7 +281,7 @@ def cell_links(docs: DataFrame, words: int = LONGER) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, most=1 << 20):
+            for batch in slices(whole, most=SKETCHED):
                 texts = column(batch, "text").to_pylist()
                 cells, signatures = sketches_of(texts)
                 digests = np.array([xxhash.xxh64_intdigest(_shingles(t, words).tobytes(), SEED) for t in texts], np.uint64)
