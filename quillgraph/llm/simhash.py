@@ -10,7 +10,6 @@ as pairs. Stars are then joined to components by alternating large-star and smal
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
@@ -243,10 +242,8 @@ def as_hex(fp: str = "fp"):
 
 # Similar texts, for stages that keep one of each group.
 
-#: Fingerprints of a text, of 46 bits each, and bits of the signature by which a cell's texts are told apart.
-TABLES, SIGNATURE, APART = 32, 128, 34
-#: Bytes of text whose words' hashes, 1600 bytes a word, are in memory at once.
-SKETCHED = 128 << 10
+#: Rows of a key that are compared in one task with as many others, longs of a text's parity map, and documents and shingles of the order's sample.
+BLOCK, PARITY, SAMPLED, COMMON = 4096, 4, 8000, 200_000
 LONGER = 5
 
 
@@ -257,89 +254,182 @@ def _shingles(text: str, words: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[i : i + words]), SEED) for i in range(n)), np.uint64, n))
 
 
-def sketches_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """cells [texts, TABLES] and signatures [texts, 2]: SimHashes over each text's distinct words."""
-    size = (TABLES * 2 * GOLAY_BITS + SIGNATURE) // 8
-    index: dict[bytes, int] = {}
-    sets = [[index.setdefault(w, len(index)) for w in set(t.encode().lower().split())] for t in texts]
-    raw = b"".join(hashlib.shake_128(w).digest(size) for w in index)
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, size), axis=1, bitorder="little") if index else np.zeros((0, 8 * size), np.uint8)
-    sums = np.stack([2 * bits[s].sum(0, dtype=np.int32) > len(s) if s else np.zeros(8 * size, bool) for s in sets])
-    blocks = sums[:, : TABLES * 2 * GOLAY_BITS].reshape(-1, GOLAY_BITS) @ (1 << np.arange(GOLAY_BITS))
-    nearest = blocks ^ padded()[0][0][syndromes(blocks), 0]
-    pair = nearest.reshape(len(texts), TABLES, 2)
-    cells = np.arange(TABLES) << (2 * GOLAY_BITS) | pair[:, :, 1] << GOLAY_BITS | pair[:, :, 0]
-    return cells, np.packbits(sums[:, TABLES * 2 * GOLAY_BITS :], axis=1, bitorder="little").view("<u8")
+def common_shingles(docs: DataFrame, words: int = LONGER) -> np.ndarray:
+    """Shingles of several documents of a bounded sample, the most frequent last. Whatever it holds, the order that it gives is the same for all texts; it only keeps hot shingles out of prefixes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, most=1 << 20):
+                sets = [_shingles(t, words).view(np.int64) for t in column(batch, "text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], ["h"])
 
-def cell_links(docs: DataFrame, words: int = LONGER) -> DataFrame:
-    """a, b, same: texts (a) and the first one (b) of their cell with a like signature; same if their shingles are equal.
+    share = min(1 << 20, (SAMPLED << 20) // max(1, docs.count()))
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).mapInArrow(run, "h long")
+    rows = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(COMMON).collect()
+    return np.array([r.h for r in reversed(rows)], np.int64)
 
-    Here an anchor is the codeword pair nearest to a fingerprint, and threshold 0: two similar texts have the same one in any
-    of the tables with some probability, and miss all of them with little. Texts of a cell are compared with its first ones only.
-    """
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def prefixes(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
+    """doc_id, digest, n, m0 to m3, prefix: of each text's set of shingles the number, parity map and first shingles, so many that sets as similar as that have one in common."""
+    common = common_shingles(docs, words)
+    by_hash = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
+    maps = [f"m{k}" for k in range(PARITY)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = shared.value
         for whole in batches:
-            for batch in slices(whole, most=SKETCHED):
-                texts = column(batch, "text").to_pylist()
-                cells, signatures = sketches_of(texts)
-                digests = np.array([xxhash.xxh64_intdigest(_shingles(t, words).tobytes(), SEED) for t in texts], np.uint64)
-                ids = column(batch, "doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                each = [np.repeat(x, TABLES) for x in (ids, digests.view(np.int64), signatures[:, 0].view(np.int64), signatures[:, 1].view(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), *map(pa.array, each)], ["cell", "doc_id", "digest", "s0", "s1"])
+            for batch in slices(whole, most=1 << 20):
+                digests, sizes, parity, firsts = [], [], [], []
+                for text in column(batch, "text").to_pylist():
+                    found = _shingles(text, words)
+                    digests.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                    sizes.append(len(found))
+                    parity.append(np.packbits(np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1, bitorder="little").view("<i8"))
+                    signed = found.view(np.int64)
+                    place = np.zeros(len(signed), np.int64)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, signed), len(known) - 1)
+                        place = np.where(known[at] == signed, rank[at] + 1, 0)
+                    least = len(found) - int(np.ceil(similarity * len(found) - 1e-9)) + 1 if len(found) else 0
+                    firsts.append(signed[np.lexsort((signed, place))[:least]])
+                parity = np.stack(parity)
+                columns = [column(batch, "doc_id"), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(parity[:, k]) for k in range(PARITY)), pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "digest", "n", *maps, "prefix"])
+
+    return durable(docs.mapInArrow(run, f"doc_id long, digest long, n int, {', '.join(f'{m} long' for m in maps)}, prefix array<long>"), "prefixes")
+
+
+def _may_be(na, nb, pa_, pb, similarity: float):
+    """Whether sets of such sizes can be similar if the first shingle that they share has these places. For Columns and arrays."""
+    least = np.minimum if isinstance(na, np.ndarray) else F.least
+    together = similarity / (1 + similarity) * (na + nb) - 1e-6
+    return least(na - pa_, nb - pb) >= together
+
+
+def met(sets: DataFrame) -> DataFrame:
+    """key, digest, n, place, block, blocks, lead, lead_n, lead_place: the rows of each prefix shingle (key) that several sets have, by size, and the middle one of them, their lead."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("cell", "doc_id", "digest", "s0", "s1")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "digest", "n", "place")
         kept = [np.zeros(0, np.int64) for _ in names]
         for batch in with_end(batches):
             if batch is not None:
-                kept = [np.concatenate((x, column(batch, n).to_numpy())) for x, n in zip(kept, names, strict=True)]
-            cell = kept[0]
-            done = len(cell) if batch is None else int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+                kept = [np.concatenate((x, column(batch, c).to_numpy().astype(np.int64))) for x, c in zip(kept, names, strict=True)]
+            key = kept[0]
+            done = len(key) if batch is None else int(np.searchsorted(key, key[-1])) if len(key) else 0
             part, kept = [x[:done] for x in kept], [x[done:].copy() for x in kept]
             if not done:
                 continue
-            cell, ids, digests, s0, s1 = part
-            first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-            ends = np.append(first[1:], done)
-            out = []
-            for g in np.flatnonzero(ends - first > 1).tolist():
-                rest = np.arange(first[g], ends[g])
-                while len(rest) > 1:
-                    lead, others = rest[0], rest[1:]
-                    near = differing(s0[others], s0[lead]) + differing(s1[others], s1[lead]) <= APART
-                    hits = others[near]
-                    if len(hits):
-                        out.append((ids[hits], np.full(len(hits), ids[lead]), digests[hits] == digests[lead]))
-                    rest = others[~near]
-            if out:
-                a, b, same = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(same)], ["a", "b", "same"])
-
-    met = docs.mapInArrow(spread, "cell long, doc_id long, digest long, s0 long, s1 long")
-    links = met.repartition("cell").sortWithinPartitions("cell", "doc_id").mapInArrow(compare, "a long, b long, same boolean")
-    return links.where("a <> b").groupBy("a", "b").agg(F.max("same").alias("same"))
-
+            first = np.flatnonzero(np.concatenate(([True], part[0][1:] != part[0][:-1])))
+            rows = np.diff(np.append(first, done))
+            own, size = np.repeat(first, rows), np.repeat(rows, rows)
+            several = size > 1
+            at = np.arange(done)[several]
+            own, size = own[several], size[several]
+            lead = own + size // 2
+            out = [part[0][at], *(x[at] for x in part[1:]), (at - own) // BLOCK, (size - 1) // BLOCK + 1, *(x[lead] for x in part[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [*names, "block", "blocks", "lead", "lead_n", "lead_place"])
+
+    rows = sets.select("digest", "n", F.posexplode("prefix").alias("place", "key")).select("key", "digest", "n", F.col("place").cast("int").alias("place"))
+    dealt = rows.repartition("key").sortWithinPartitions("key", "n", "digest")
+    return dealt.mapInArrow(run, "key long, digest long, n long, place long, block long, blocks long, lead long, lead_n long, lead_place long")
+
+
+def pairs_across(cells: DataFrame, similarity: float) -> DataFrame:
+    """a, b: the pairs of each key (cells has root and the parity maps) with different roots that sizes, places and parity maps allow. A key of many blocks is dealt out as pairs of blocks."""
+    maps = [f"m{k}" for k in range(PARITY)]
+    names = ["key", "low", "high", "block", "digest", "n", "place", "root", *maps]
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        kept = [np.zeros(0, np.int64) for _ in names]
+        for batch in with_end(batches):
+            if batch is not None:
+                kept = [np.concatenate((x, column(batch, c).to_numpy())) for x, c in zip(kept, names, strict=True)]
+            if not len(kept[0]):
+                continue
+            new = np.any([x[1:] != x[:-1] for x in kept[:3]], axis=0)
+            first = np.concatenate(([0], np.flatnonzero(new) + 1))
+            ends = np.append(first[1:], len(kept[0]))
+            for lo, hi in zip(first[: None if batch is None else -1].tolist(), ends.tolist(), strict=False):
+                yield [x[lo:hi] for x in kept]
+            kept = [x[0 if batch is None else first[-1] :].copy() for x in kept]
+            if batch is None:
+                return
 
-def similar_links(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
-    """a, b: pairs of cell_links() whose shingles have a Jaccard similarity of at least similarity, by exact comparison."""
-    links = durable(cell_links(docs, words), "cells")
-    open_ = links.where("not same")
-    needed = open_.select(F.col("a").alias("doc_id")).union(open_.select(F.col("b").alias("doc_id"))).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, low, high, block, digest, n, place, root, *bits in groups(batches):
+            if root.min() == root.max():
+                continue
+            left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+            step = max(1, (1 << 18) // max(1, len(right)))
+            for lo in range(0, len(left), step):
+                i, j = np.meshgrid(left[lo : lo + step], right, indexing="ij")
+                i, j = i.ravel(), j.ravel()
+                fine = (i < j) & (root[i] != root[j])
+                i, j = i[fine], j[fine]
+                fine = _may_be(n[i], n[j], place[i], place[j], similarity)
+                i, j = i[fine], j[fine]
+                apart = sum(differing(x[i], x[j]).astype(np.int64) for x in bits)
+                fine = apart <= _apart(n[i], n[j], similarity)
+                i, j = i[fine], j[fine]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(digest[i], digest[j])), pa.array(np.maximum(digest[i], digest[j]))], ["a", "b"])
+
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = cells.withColumn("_o", other).withColumns({"low": F.least("block", "_o"), "high": F.greatest("block", "_o")}).select(*names)
+    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "digest").mapInArrow(run, "a long, b long").distinct()
+
+
+def _apart(na, nb, similarity: float):
+    """The most shingles that only one of two similar sets has. Each flips one bit of the difference of their parity maps at most."""
+    return (1 - similarity) / (1 + similarity) * (na + nb) + 1e-6
+
+
+def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of digests whose sets have at least that Jaccard similarity, by exact comparison. classes says which document has a digest's text."""
+    maps = [f"m{k}" for k in range(PARITY)]
+    of = lambda s: classes.select(F.col("digest").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", *maps)))
+    apart = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in maps[1:]), F.bit_count(F.col("m0_a").bitwiseXOR(F.col("m0_b"))))
+    allowed = apart <= _apart(F.col("n_a"), F.col("n_b"), similarity)
+    open_ = durable(pairs.join(of("a"), "a").join(of("b"), "b").where(allowed).select("a", "b"), "pairs")
+    needed = open_.select(F.col("a").alias("digest")).union(open_.select(F.col("b").alias("digest"))).distinct()
+    wanted = classes.join(needed, "digest", "left_semi").select(F.col("least").alias("doc_id")).distinct()
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, most=1 << 20):
-                sets = [_shingles(t, words).view(np.int64) for t in column(batch, "text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+                sets = [_shingles(t, words) for t in column(batch, "text").to_pylist()]
+                digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"])
 
-    sets = docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(shingled, "doc_id long, shingles array<long>")
-    sets = durable(sets, "shingles")
-    one = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"_{n}"))
+    sets = durable(docs.join(wanted, "doc_id", "left_semi").mapInArrow(shingled, "digest long, shingles array<long>").dropDuplicates(["digest"]), "shingles")
+    one = lambda s: sets.select(F.col("digest").alias(s), F.col("shingles").alias(f"_{s}"))
     both = F.size(F.array_intersect("_a", "_b"))
-    near = open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both))
-    return links.where("same").select("a", "b").union(near.select("a", "b"))
+    return open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both)).select("a", "b")
+
+
+def similar_links(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
+    """a, b: links between documents that connect all whose shingles have a Jaccard similarity of at least similarity.
+
+    Similar sets share a shingle of their prefixes (the first of each in one order of all shingles), so every such pair meets
+    under some key. All of a key are first checked against one lead; then every pair of a key that isn't connected yet is
+    checked too, so that none is lost and a large group of near copies isn't expanded to pairs.
+    """
+    texts = prefixes(docs, words, similarity)
+    maps = [f"m{k}" for k in range(PARITY)]
+    classes = durable(texts.groupBy("digest").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("n", *maps, "prefix"))), "classes")
+    cells = durable(met(classes), "cells")
+    may = _may_be(F.col("n"), F.col("lead_n"), F.col("place"), F.col("lead_place"), similarity)
+    led = cells.where("digest <> lead").where(may).select(F.least("digest", "lead").alias("a"), F.greatest("digest", "lead").alias("b")).distinct()
+    first = durable(checked(led, docs, classes, words, similarity), "near")
+    rooted = classes.select("digest", *maps).join(components(first).withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    across = pairs_across(cells.join(rooted, "digest"), similarity).join(led, ["a", "b"], "left_anti")
+    near = first.union(checked(across, docs, classes, words, similarity))
+    of = lambda s: classes.select(F.col("digest").alias(f"_{s}"), F.col("least").alias(s))
+    named = near.select(F.col("a").alias("_a"), F.col("b").alias("_b")).join(of("a"), "_a").join(of("b"), "_b").select("a", "b")
+    copies = texts.select("digest", "doc_id").join(classes.select("digest", "least"), "digest").where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    return copies.union(named)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = LONGER, similarity: float = 0.8) -> DataFrame:

@@ -471,3 +471,29 @@ def test_keep_one(spark, odd, none):
     left = simhash.keep_one(odd)
     assert left.columns == odd.columns and left.where("doc_id is null").count() == 1 and left.where("doc_id = 6").count() == 0
     assert simhash.keep_one(none).count() == 0
+
+
+def kept_by_brute_force(rows):
+    sets = {i: set(zip(*[words(x.lower())[k:] for k in range(5)], strict=False)) for i, x in rows}
+    found = linked([(i, fingerprint(x)) for i, x in rows])
+    near = [(i, c) for (i, _), c in zip(rows, found, strict=True)]
+    near += [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    root = {i: i for i in sets}
+    while True:
+        before = dict(root)
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return {i for i, r in root.items() if i == r}
+
+
+def test_keep_one_finds_added_and_cut_passages(spark):
+    """A block appended, an end cut off: the words' set changes much, the shingles agree by 0.8 and more."""
+    rng, rows = np.random.default_rng(8), []
+    for g in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 200 + 10 * g)]
+        more, less = (1 + 0.23 * rng.random(2)) * len(base)
+        rows += [(10 * g + 1, base), (10 * g + 2, [*base, *(f"z{x}" for x in rng.integers(0, 5000, int(more) - len(base)))]), (10 * g, base[: int(len(base) ** 2 / less)])]
+    rows = [(i, " ".join(x)) for i, x in rows]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert kept == kept_by_brute_force(rows) and len(kept) < 90
