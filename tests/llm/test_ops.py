@@ -497,3 +497,18 @@ def test_keep_one_finds_added_and_cut_passages(spark):
     rows = [(i, " ".join(x)) for i, x in rows]
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
     assert kept == kept_by_brute_force(rows) and len(kept) < 90
+
+
+def test_keep_one_compares_those_that_differ_from_the_lead(spark, monkeypatch):
+    """Lines of one pool in several orders: equal sets of words, near copies only within an order."""
+    monkeypatch.setattr(simhash, "BLOCK", 7, raising=False)
+    rng, rows = np.random.default_rng(9), []
+    pool = [[f"p{k}x{j}" for j in range(8)] for k in range(40)]
+    for g in range(20):
+        order = rng.permutation(40)
+        for c in range(3):
+            lines = [pool[k] for k in order]
+            lines[c], lines[c + 1] = lines[c + 1], lines[c]
+            rows.append((10 * g + c, " ".join(w for x in lines for w in x)))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert kept == kept_by_brute_force(rows) == {10 * g for g in range(20)}
