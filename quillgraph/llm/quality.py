@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
-#: The measures, each with a least spread that keeps the fence off groups whose documents are nearly alike.
-MEASURES = {"symbol_rate": 0.01, "dup_line_rate": 0.1, "repeat_rate": 0.1, "mean_word": 1.0, "capital_rate": 0.02}
+#: The measures, each with a least spread near its noise in a text of some hundred words (such as one line of twenty), for groups whose documents are nearly alike.
+MEASURES = {"symbol_rate": 0.002, "dup_line_rate": 0.05, "repeat_rate": 0.04, "mean_word": 0.3, "capital_rate": 0.002}
 #: A fence lies so many spreads beyond the upper quartile; accuracy is the sketch's (rank error: rows / accuracy).
-REACH, ACCURACY = 6.0, 10_000
+REACH, ACCURACY = 3.0, 10_000
 #: Fixed values of the contract: white space that separates words, and what counts as symbols.
 SPACES, SYMBOLS, CAPITALS = " \t\n\x0b\x0c\r", "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -313,6 +313,26 @@ def test_fences_follow_their_group(spark):
     assert not kept[100] and all(v for k, v in kept.items() if k != 100)
 
 
+def test_each_measure_rejects_an_outlier(spark):
+    """Texts that pass the base rules and are far from their group by one measure."""
+    lines = lambda i, n=10: [" ".join(f"w{i}x{10 * k + j}" for j in range(8)) for k in range(n)]
+    passage = "once more these twelve words are found here as they were before"
+    planted = {
+        "symbol_rate": [x + "##" for x in lines(100)],
+        "dup_line_rate": [y for x in lines(101, 8) for y in (x, "aa bb")][:12],
+        "repeat_rate": [passage, *lines(102), passage],
+        "mean_word": [x.replace("w", "longerw") for x in lines(103)],
+        "capital_rate": [x.replace("w104x", "Wx") for x in lines(104)],
+    }
+    rows = [(i, "\n".join(lines(i)), "en", "s") for i in range(40)] + [(100 + k, "\n".join(x), "en", "s") for k, x in enumerate(planted.values())]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    limits = quality.fences(quality.rates(quality.measured(df))).first()
+    judged = {r.row.doc_id: r for r in quality.judged(df).collect()}
+    for k, m in enumerate(planted):
+        assert not judged[100 + k].base_failed and not judged[100 + k].kept and judged[100 + k][m] > limits[f"max_{m}"], m
+    assert all(judged[i].kept for i in range(40))
+
+
 def test_quality_runs_no_python(documents):
     plan = quality.apply_rules(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
