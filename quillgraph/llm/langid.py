@@ -21,8 +21,8 @@ from .common import column, durable, slices, text_bytes
 
 #: Columns of a vector, centroids of a language, and labelled rows of a language that the model is fitted on (those of least hash).
 COLUMNS, CENTROIDS, SAMPLE = 4096, 4, 400
-#: A text is rejected below this quantile of its language's own cosines, less the slack.
-REJECT_AT, REJECT_SLACK = 0.005, 0.15
+#: A text is rejected below this quantile of the cosines of its language's sample, without the rows that are nearer to another language. Clusters of a lesser share of the sample, such as mislabelled texts, are no centroids.
+REJECT_AT, SHARE = 0.01, 0.05
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 ROWS = 256
@@ -66,8 +66,11 @@ class Centroids:
             own = clustered(x, CENTROIDS)
             centres.append(own)
             owner += [k] * len(own)
-            floor.append(np.quantile((x @ own.T).max(1), REJECT_AT) - REJECT_SLACK)
-        self.centres, self.owner, self.floor = np.concatenate(centres).astype(np.float32), np.array(owner), np.array(floor)
+        self.centres, self.owner = np.concatenate(centres).astype(np.float32), np.array(owner)
+        for k, lang in enumerate(languages):
+            near, cosine = self.nearest(rows[lang])
+            floor.append(np.quantile(cosine[near == k] if (near == k).any() else cosine, REJECT_AT))
+        self.floor = np.array(floor)
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return unit(np.log1p(counts) * self.idf)
@@ -87,7 +90,8 @@ def clustered(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     for _ in range(rounds):
         own = (x @ centres.T).argmax(1)
         centres = unit(np.stack([x[own == c].sum(0) for c in np.unique(own)]))
-    return centres
+    own = np.bincount((x @ centres.T).argmax(1), minlength=len(centres))
+    return centres[own >= min(SHARE * len(x), own.max())]
 
 
 def remainder(id_col: str, modulus: int) -> Column:

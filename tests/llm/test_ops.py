@@ -276,6 +276,17 @@ def test_language(spark, odd, none, documents):
     assert untaught.where("lang_pred <> 'und'").count() == 0
 
 
+@pytest.mark.parametrize("lang", ["de", "en", "es", "fr"])
+def test_language_that_is_not_taught_is_rejected(spark, lang):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit_fold(docs.where(F.col("lang") != lang))
+    other = langid.predict(docs.where(F.col("lang") == lang), model).agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    rng = np.random.default_rng(5)
+    letters = [(i, " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(120))) for i in range(50)]
+    noise = langid.predict(spark.createDataFrame(letters, "doc_id long, text string"), model).where("rejected").count()
+    assert other >= 0.9 and noise == 50
+
+
 def test_language_ignores_labels_of_the_predicted(documents):
     a = {tuple(r) for r in langid.identify(documents).collect()}
     fold = langid.remainder("doc_id", 3) == 1
