@@ -2,8 +2,8 @@
 
 A text is the normalised TF-IDF vector of its byte trigrams (letters lower-cased, runs of what isn't a letter as one space),
 hashed into a fixed number of columns. Each language has several centroids, clustered by spherical k-means on a bounded
-sample of labelled rows. The language of the nearest centroid by cosine is predicted; a text that is farther from it than
-nearly all of the language's own sample is rejected. Every row's whole text is scored, against a model of fixed size.
+sample of labelled rows. The language of the nearest centroid by cosine is predicted; a text whose cosine is far
+below the median of the language's own sample is rejected. Every row's whole text is scored, against a model of fixed size.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from .common import column, durable, slices, text_bytes
 
 #: Columns of a vector, centroids of a language, and labelled rows of a language that the model is fitted on (those of least hash).
 COLUMNS, CENTROIDS, SAMPLE = 4096, 4, 400
-#: A text is rejected below this quantile of the cosines of its language's sample, without the rows that are nearer to another language. Clusters of a lesser share of the sample, such as mislabelled texts, are no centroids.
-REJECT_AT, SHARE = 0.01, 0.05
+#: A text is rejected below this part of the median cosine of its language's sample, without the rows that are nearer to another language. Clusters of a lesser share of the sample, such as mislabelled texts, are no centroids.
+REJECT_AT, SHARE = 1 / 3, 0.1
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 ROWS = 256
@@ -69,7 +69,7 @@ class Centroids:
         self.centres, self.owner = np.concatenate(centres).astype(np.float32), np.array(owner)
         for k, lang in enumerate(languages):
             near, cosine = self.nearest(rows[lang])
-            floor.append(np.quantile(cosine[near == k] if (near == k).any() else cosine, REJECT_AT))
+            floor.append(REJECT_AT * np.median(cosine[near == k] if (near == k).any() else cosine))
         self.floor = np.array(floor)
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
