@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,29 +19,56 @@ SLICE_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a new folder in local mode (tests), and an error on a cluster, whose machines don't share their own folders."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir isn't set; it must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillgraph-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A new place in the shared folder, which Hadoop's file system deletes when the application ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
     return path
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read again: its lineage is cut, and losing an executor loses nothing."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    return _written(df, new_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Durable tables of one operator, deleted together as soon as its result is written elsewhere (at the end of a with block)."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path, self.count = spark, new_path(spark, name), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        fs, at = _file_system(self.spark, self.path)
+        fs.delete(at, True)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        return _written(df, f"{self.path}/{name}-{self.count}")
 
 
 def partitions(spark: SparkSession) -> int:
@@ -94,3 +124,55 @@ def word_spans(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after_edge[inner - 1] = True
     stops = np.flatnonzero((inside & (after | after_edge))[:-1]) + 1
     return starts, stops, np.searchsorted(starts, ends)
+
+
+#: Odd multipliers, by place, of the words of a short sequence.
+PLACES = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) | 1 for k in range(32)], np.uint64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts in a row: each word's number (equal for equal words, and only for these), XXH64 by number, and the first word of each text (and the number of words). Words are [^\\x20\\x09-\\x0D]+."""
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    ids, first = [], [0]
+    for text in texts:
+        ids += map(known.__getitem__, text.split())
+        first.append(len(ids))
+    return np.array(ids, np.int64), np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known)), np.array(first, np.int64)
+
+
+def sequence_hash(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of the length words from each place on. words has the words' hashes."""
+    total = np.full(len(at), length, np.uint64)
+    for k in range(length):
+        total += words[at + k] * PLACES[k]
+    return mixed(total)
+
+
+#: Bits of a filter of ids, in rows of 32,768.
+FILTER_BITS = 1 << 23
+
+
+def may_hold(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """_row (df's columns), _key (the column key as a long), _maybe: false where _key is surely not among ids (the first column of that frame).
+
+    A bitmap of hashed ids, broadcast: 1 MB at most whatever the number of ids is. The more there are, the more rows are maybe.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    of = ids.select(place(F.col(ids.columns[0]).cast("long")).alias("_p"))
+    bits = of.groupBy(F.bitmap_bucket_number("_p").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{key}`").cast("long").alias("_key"))
+    rows = rows.withColumns({"_bucket": F.bitmap_bucket_number(place(F.col("_key"))), "_at": F.bitmap_bit_position(place(F.col("_key")))}).join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return rows.select("_row", "_key", F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False)).alias("_maybe"))
+
+
+def columns_of(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of _row again."""
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in names])

@@ -20,13 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, durable, id_text, slices
+from .common import Scratch, coded, column, columns_of, durable, id_text, may_hold, sequence_hash, slices
 
 SHINGLE, SEED, THRESHOLD = 3, 42, 2
 #: Length, generator polynomial and covering radius of the binary Golay code.
 GOLAY_BITS, GOLAY_POLY, RADIUS = 23, 0xC75, 3
 #: Cells of a comparison matrix that are in memory at once.
-CELLS = 8 << 20
+CELLS = 1 << 20
 
 
 def fingerprints_of(texts: list[str], words: int = SHINGLE) -> np.ndarray:
@@ -200,10 +200,10 @@ def with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root: the least node of the component of each node that has a link in links (a, b). Alternating star steps, each over a written table, until nothing changes."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, state = durable(edges, "links"), None
+    edges, state = scratch.table(edges, "links"), None
     while True:
         # Large star: the larger neighbours of each node go to the least of its neighbourhood.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -212,24 +212,28 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: a node and its smaller neighbours go to the least of these.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = durable(small, "links")
+        edges = scratch.table(small, "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
         state = now
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: int = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, fp, component_id of each row: the smallest doc_id that links of at most threshold (0 to 2) differing bits reach.
 
     Null and empty texts have fingerprint 0, which links like any other. Equal fingerprints are one node, so groups of copies
     are never expanded. Rows with a null doc_id link too but never name a component. Repeated rows repeat; an empty table gives none.
+    With a scratch of the caller's, the result reads its tables.
     """
     if not 0 <= threshold <= THRESHOLD:
         raise ValueError(f"threshold {threshold} isn't in 0 to {THRESHOLD}")
-    prints = durable(fingerprints(df, id_col, text_col, words), "fingerprints")
-    classes = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(anchor_links(classes, threshold))
+    if scratch is None:
+        with Scratch(df.sparkSession, "near") as own:
+            return durable(near_duplicates(df, id_col, text_col, words, threshold, own), "components")
+    prints = scratch.table(fingerprints(df, id_col, text_col, words), "fingerprints")
+    classes = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = components(anchor_links(classes, threshold), scratch)
     classes = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     of = classes.join(named, "root").select("fp", "component_id")
@@ -242,16 +246,25 @@ def as_hex(fp: str = "fp"):
 
 # Similar texts, for stages that keep one of each group.
 
-#: Rows of a key that are compared in one task with as many others, longs of a text's parity map, and documents and shingles of the order's sample.
-BLOCK, PARITY, SAMPLED, COMMON = 4096, 4, 8000, 200_000
+#: Rows of a key up to which all its pairs are checked at once, and rows of a larger one that one task compares with as many others.
+SMALL, BLOCK = 16, 4096
+#: Bits of a text's parity map, and documents and shingles of the order's sample.
+PARITY, SAMPLED, COMMON = 1024, 8000, 200_000
 LONGER = 5
 
 
-def _shingles(text: str, words: int) -> np.ndarray:
-    """Distinct hashes of a text's shingles, sorted; the whole sequence if it is shorter."""
-    parts = text.encode().lower().split()
-    n = max(1, len(parts) - words + 1) if parts else 0
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[i : i + words]), SEED) for i in range(n)), np.uint64, n))
+def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
+    """Of each text the distinct hashes of its shingles, sorted; that of the whole sequence if it is shorter."""
+    ids, hashes, first = coded([t.encode().lower() for t in texts])
+    by_place = hashes[ids] if len(ids) else hashes
+    whole = sequence_hash(by_place, np.arange(max(0, len(ids) - words + 1)), words)
+    out = []
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if hi - lo >= words:
+            out.append(np.unique(whole[lo : hi - words + 1]))
+        else:
+            out.append(sequence_hash(by_place, np.array([lo]), hi - lo) if hi > lo else np.zeros(0, np.uint64))
+    return out
 
 
 def common_shingles(docs: DataFrame, words: int = LONGER) -> np.ndarray:
@@ -260,8 +273,8 @@ def common_shingles(docs: DataFrame, words: int = LONGER) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, most=1 << 20):
-                sets = [_shingles(t, words).view(np.int64) for t in column(batch, "text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], ["h"])
+                sets = shingle_sets(column(batch, "text").to_pylist(), words)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
 
     share = min(1 << 20, (SAMPLED << 20) // max(1, docs.count()))
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).mapInArrow(run, "h long")
@@ -270,22 +283,20 @@ def common_shingles(docs: DataFrame, words: int = LONGER) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
-    """doc_id, digest, n, m0 to m3, prefix: of each text's set of shingles the number, parity map and first shingles, so many that sets as similar as that have one in common."""
+    """doc_id, digest, n, parity, prefix: of each text's set of shingles a hash, the number, the parity map and the first shingles, so many that sets as similar as that have one in common."""
     common = common_shingles(docs, words)
     by_hash = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
-    maps = [f"m{k}" for k in range(PARITY)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
         for whole in batches:
             for batch in slices(whole, most=1 << 20):
-                digests, sizes, parity, firsts = [], [], [], []
-                for text in column(batch, "text").to_pylist():
-                    found = _shingles(text, words)
-                    digests.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
-                    sizes.append(len(found))
-                    parity.append(np.packbits(np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1, bitorder="little").view("<i8"))
+                digests, parity, firsts = [], [], []
+                sets = shingle_sets(column(batch, "text").to_pylist(), words)
+                for found in sets:
+                    digests.append(digest_of(found))
+                    parity.append(np.packbits(np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).tobytes())
                     signed = found.view(np.int64)
                     place = np.zeros(len(signed), np.int64)
                     if len(known):
@@ -293,92 +304,131 @@ def prefixes(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> D
                         place = np.where(known[at] == signed, rank[at] + 1, 0)
                     least = len(found) - int(np.ceil(similarity * len(found) - 1e-9)) + 1 if len(found) else 0
                     firsts.append(signed[np.lexsort((signed, place))[:least]])
-                parity = np.stack(parity)
-                columns = [column(batch, "doc_id"), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(sizes, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(parity[:, k]) for k in range(PARITY)), pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "digest", "n", *maps, "prefix"])
+                columns = [column(batch, "doc_id"), pa.array(digests, pa.int64()), pa.array(map(len, sets), pa.int32()), pa.array(parity, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "digest", "n", "parity", "prefix"])
+
+    return docs.mapInArrow(run, "doc_id long, digest long, n int, parity binary, prefix array<long>")
+
+
+def digest_of(found: np.ndarray) -> int:
+    """A set's hash as a signed number."""
+    return int(np.array(xxhash.xxh64_intdigest(found.tobytes(), SEED), np.uint64).view(np.int64))
+
+
+def may_be(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets can be similar if the first shingle that they share has these sizes (high 32 bits) and places (low 32 bits)."""
+    na, nb = a >> 32, b >> 32
+    return np.minimum(na - (a & 0xFFFFFFFF), nb - (b & 0xFFFFFFFF)) >= similarity / (1 + similarity) * (na + nb) - 1e-6
+
+
+CELL = "kind byte, key long, digest long, spot long, lead long, block long"
+PAIR, MEMBER = 0, 1
 
-    return durable(docs.mapInArrow(run, f"doc_id long, digest long, n int, {', '.join(f'{m} long' for m in maps)}, prefix array<long>"), "prefixes")
 
+def _cells(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """Rows of CELL: a pair (digest, lead) to be checked, or a member of a large key with its lead (0: they can't be similar) and block."""
+    n = len(columns[1])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *(pa.array(c) for c in columns)], ["kind", "key", "digest", "spot", "lead", "block"])
 
-def _may_be(na, nb, pa_, pb, similarity: float):
-    """Whether sets of such sizes can be similar if the first shingle that they share has these places. For Columns and arrays."""
-    least = np.minimum if isinstance(na, np.ndarray) else F.least
-    together = similarity / (1 + similarity) * (na + nb) - 1e-6
-    return least(na - pa_, nb - pb) >= together
 
+def met(sets: DataFrame, similarity: float) -> DataFrame:
+    """Rows of CELL from the prefixes: all pairs of the shingles (key) that 2 to SMALL sets have, and the members of larger ones, each to be checked with the key's least digest."""
 
-def met(sets: DataFrame) -> DataFrame:
-    """key, digest, n, place, block, blocks, lead, lead_n, lead_place: the rows of each prefix shingle (key) that several sets have, by size, and the middle one of them, their lead."""
+    def pairs(key: np.ndarray, digest: np.ndarray, spot: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for s in np.unique(size[(size > 1) & (size <= SMALL)]).tolist():
+            i, j = np.triu_indices(s, 1)
+            at = first[size == s]
+            i, j = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+            fine = may_be(spot[i], spot[j], similarity)
+            a, b = digest[i[fine]], digest[j[fine]]
+            if len(a):
+                a, b = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0).T
+                zero = np.zeros(len(a), np.int64)
+                yield _cells(PAIR, zero, a, zero, b, zero)
+
+    def members(key: int, seen: int, lead: tuple[int, int], digest: np.ndarray, spot: np.ndarray) -> pa.RecordBatch:
+        fine = may_be(spot, np.full(len(spot), lead[1]), similarity) & (digest != lead[0])
+        return _cells(MEMBER, np.full(len(digest), key), digest, spot, np.where(fine, lead[0], 0), (seen + np.arange(len(digest))) // BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "digest", "n", "place")
-        kept = [np.zeros(0, np.int64) for _ in names]
+        # Of the key that goes on: its rows, or, once they are over SMALL, its number of rows and its lead.
+        names, none = ("key", "digest", "spot"), np.zeros(0, np.int64)
+        kept, large, seen, lead = [none] * 3, None, 0, (0, 0)
         for batch in with_end(batches):
-            if batch is not None:
-                kept = [np.concatenate((x, column(batch, c).to_numpy().astype(np.int64))) for x, c in zip(kept, names, strict=True)]
-            key = kept[0]
-            done = len(key) if batch is None else int(np.searchsorted(key, key[-1])) if len(key) else 0
-            part, kept = [x[:done] for x in kept], [x[done:].copy() for x in kept]
-            if not done:
+            key, digest, spot = [column(batch, c).to_numpy() for c in names] if batch is not None else [none] * 3
+            if large is not None and len(key):
+                goes = int(np.searchsorted(key, large, "right"))
+                if goes:
+                    yield members(large, seen, lead, digest[:goes], spot[:goes])
+                    seen += goes
+                    key, digest, spot = key[goes:], digest[goes:], spot[goes:]
+                if len(key):
+                    large = None
+            key, digest, spot = (np.concatenate((x, y)) for x, y in zip(kept, (key, digest, spot), strict=True))
+            kept = [none] * 3
+            if not len(key):
                 continue
-            first = np.flatnonzero(np.concatenate(([True], part[0][1:] != part[0][:-1])))
-            rows = np.diff(np.append(first, done))
-            own, size = np.repeat(first, rows), np.repeat(rows, rows)
-            several = size > 1
-            at = np.arange(done)[several]
-            own, size = own[several], size[several]
-            lead = own + size // 2
-            out = [part[0][at], *(x[at] for x in part[1:]), (at - own) // BLOCK, (size - 1) // BLOCK + 1, *(x[lead] for x in part[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [*names, "block", "blocks", "lead", "lead_n", "lead_place"])
-
-    rows = sets.select("digest", "n", F.posexplode("prefix").alias("place", "key")).select("key", "digest", "n", F.col("place").cast("int").alias("place"))
-    dealt = rows.repartition("key").sortWithinPartitions("key", "n", "digest")
-    return dealt.mapInArrow(run, "key long, digest long, n long, place long, block long, blocks long, lead long, lead_n long, lead_place long")
-
-
-def pairs_across(cells: DataFrame, similarity: float) -> DataFrame:
-    """a, b: the pairs of each key (cells has root and the parity maps) with different roots that sizes, places and parity maps allow. A key of many blocks is dealt out as pairs of blocks."""
-    maps = [f"m{k}" for k in range(PARITY)]
-    names = ["key", "low", "high", "block", "digest", "n", "place", "root", *maps]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            size = np.diff(np.append(first, len(key)))
+            if batch is not None and size[-1] <= SMALL:
+                kept = [x[first[-1] :].copy() for x in (key, digest, spot)]
+                first, size = first[:-1], size[:-1]
+            yield from pairs(key, digest, spot, first, size)
+            for lo, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+                large, seen, lead = int(key[lo]), n, (int(digest[lo]), int(spot[lo]))
+                yield members(large, 0, lead, digest[lo : lo + n], spot[lo : lo + n])
+            if not (len(size) and size[-1] > SMALL and not len(kept[0])):
+                large = None
+
+    rows = sets.select("digest", "n", F.posexplode("prefix").alias("place", "key"))
+    rows = rows.select("key", "digest", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("place")).alias("spot"))
+    return rows.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(run, CELL)
+
+
+def pairs_across(members: DataFrame, roots: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """a, b: the pairs of each large key with different roots that sizes, places and parity maps allow. A key of many blocks is dealt out as pairs of blocks."""
+    kinds = {"key": np.int64, "low": np.int64, "high": np.int64, "block": np.int64, "digest": np.int64, "spot": np.int64, "root": np.int64}
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        kept = [np.zeros(0, np.int64) for _ in names]
+        kept = [np.zeros(0, t) for t in kinds.values()] + [np.zeros((0, PARITY // 64), np.uint64)]
         for batch in with_end(batches):
             if batch is not None:
-                kept = [np.concatenate((x, column(batch, c).to_numpy())) for x, c in zip(kept, names, strict=True)]
-            if not len(kept[0]):
-                continue
-            new = np.any([x[1:] != x[:-1] for x in kept[:3]], axis=0)
-            first = np.concatenate(([0], np.flatnonzero(new) + 1))
-            ends = np.append(first[1:], len(kept[0]))
-            for lo, hi in zip(first[: None if batch is None else -1].tolist(), ends.tolist(), strict=False):
-                yield [x[lo:hi] for x in kept]
-            kept = [x[0 if batch is None else first[-1] :].copy() for x in kept]
-            if batch is None:
-                return
+                for lo in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(lo, BLOCK)
+                    maps = np.frombuffer(b"".join(column(part, "parity").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
+                    kept = [np.concatenate((x, y)) for x, y in zip(kept, [*(column(part, c).to_numpy() for c in kinds), maps], strict=True)]
+                    new = np.any([x[1:] != x[:-1] for x in kept[:3]], axis=0)
+                    cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        yield [x[a:b] for x in kept]
+                    kept = [x[cuts[-1] :].copy() for x in kept]
+            elif len(kept[0]):
+                yield kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, low, high, block, digest, n, place, root, *bits in groups(batches):
+        for _, low, high, block, digest, spot, root, maps in groups(batches):
             if root.min() == root.max():
                 continue
             left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
-            step = max(1, (1 << 18) // max(1, len(right)))
+            step = max(1, (1 << 16) // max(1, len(right)))
             for lo in range(0, len(left), step):
                 i, j = np.meshgrid(left[lo : lo + step], right, indexing="ij")
                 i, j = i.ravel(), j.ravel()
                 fine = (i < j) & (root[i] != root[j])
                 i, j = i[fine], j[fine]
-                fine = _may_be(n[i], n[j], place[i], place[j], similarity)
+                fine = may_be(spot[i], spot[j], similarity)
                 i, j = i[fine], j[fine]
-                apart = sum(differing(x[i], x[j]).astype(np.int64) for x in bits)
-                fine = apart <= _apart(n[i], n[j], similarity)
+                fine = np.bitwise_count(maps[i] ^ maps[j]).sum(1, dtype=np.int64) <= _apart(spot[i] >> 32, spot[j] >> 32, similarity)
                 i, j = i[fine], j[fine]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(digest[i], digest[j])), pa.array(np.maximum(digest[i], digest[j]))], ["a", "b"])
 
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = cells.withColumn("_o", other).withColumns({"low": F.least("block", "_o"), "high": F.greatest("block", "_o")}).select(*names)
-    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "digest").mapInArrow(run, "a long, b long").distinct()
+    rooted = members.select("key", "digest", "spot", "block").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    several = rooted.groupBy("key").agg(F.max("block").alias("last"), F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h").select("key", "last")
+    dealt = rooted.join(several, "key").join(classes.select("digest", "parity"), "digest")
+    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    dealt = dealt.withColumns({"low": F.least("block", "_o"), "high": F.greatest("block", "_o")}).select(*kinds, "parity")
+    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "digest").mapInArrow(run, "a long, b long").distinct()
 
 
 def _apart(na, nb, similarity: float):
@@ -386,58 +436,73 @@ def _apart(na, nb, similarity: float):
     return (1 - similarity) / (1 + similarity) * (na + nb) + 1e-6
 
 
-def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of digests whose sets have at least that Jaccard similarity, by exact comparison. classes says which document has a digest's text."""
-    maps = [f"m{k}" for k in range(PARITY)]
-    of = lambda s: classes.select(F.col("digest").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", *maps)))
-    apart = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in maps[1:]), F.bit_count(F.col("m0_a").bitwiseXOR(F.col("m0_b"))))
-    allowed = apart <= _apart(F.col("n_a"), F.col("n_b"), similarity)
-    open_ = durable(pairs.join(of("a"), "a").join(of("b"), "b").where(allowed).select("a", "b"), "pairs")
-    needed = open_.select(F.col("a").alias("digest")).union(open_.select(F.col("b").alias("digest"))).distinct()
-    wanted = classes.join(needed, "digest", "left_semi").select(F.col("least").alias("doc_id")).distinct()
+def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of digests whose sets have at least that Jaccard similarity, by exact comparison of those that the parity maps allow. classes says which document has a digest's text."""
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint64).reshape(-1, PARITY // 64) for c in ("pa", "pb")]
+            fine = np.bitwise_count(maps[0] ^ maps[1]).sum(1, dtype=np.int64) <= _apart(column(batch, "na").to_numpy().astype(np.int64), column(batch, "nb").to_numpy(), similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(fine))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, most=1 << 20):
-                sets = [_shingles(t, words) for t in column(batch, "text").to_pylist()]
-                digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"])
+                sets = shingle_sets(column(batch, "text").to_pylist(), words)
+                yield pa.RecordBatch.from_arrays([pa.array(map(digest_of, sets), pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"])
 
-    sets = durable(docs.join(wanted, "doc_id", "left_semi").mapInArrow(shingled, "digest long, shingles array<long>").dropDuplicates(["digest"]), "shingles")
+    of = lambda s: classes.select(F.col("digest").alias(s), F.col("n").alias(f"n{s}"), F.col("parity").alias(f"p{s}"))
+    open_ = scratch.table(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(allowed, "a long, b long"), "pairs")
+    needed = open_.select(F.col("a").alias("digest")).union(open_.select(F.col("b").alias("digest"))).distinct()
+    wanted = scratch.table(classes.select("digest", "least").join(needed, "digest", "left_semi").select(F.col("least").alias("doc_id")), "wanted")
+    some = columns_of(may_hold(docs, "doc_id", wanted).where("_maybe"), docs.columns).join(wanted, "doc_id", "left_semi")
+    sets = scratch.table(some.mapInArrow(shingled, "digest long, shingles array<long>").dropDuplicates(["digest"]), "shingles")
     one = lambda s: sets.select(F.col("digest").alias(s), F.col("shingles").alias(f"_{s}"))
     both = F.size(F.array_intersect("_a", "_b"))
-    return open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both)).select("a", "b")
+    return scratch.table(open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "near")
 
 
-def similar_links(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> DataFrame:
-    """a, b: links between documents that connect all whose shingles have a Jaccard similarity of at least similarity.
+def similar_links(docs: DataFrame, scratch: Scratch, words: int = LONGER, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """members (doc_id, digest) of all documents, and links (a, b) between digests that connect all whose shingles have a Jaccard similarity of at least similarity. Documents with one digest have the same shingles.
 
     Similar sets share a shingle of their prefixes (the first of each in one order of all shingles), so every such pair meets
-    under some key. All of a key are first checked against one lead; then every pair of a key that isn't connected yet is
-    checked too, so that none is lost and a large group of near copies isn't expanded to pairs.
+    under some key. Small keys give all their pairs. All members of a large one are first checked against one lead; then
+    every pair of it that isn't connected yet is checked too, so that none is lost and a large group of near copies isn't
+    expanded to pairs. Empty texts are one class.
     """
-    texts = prefixes(docs, words, similarity)
-    maps = [f"m{k}" for k in range(PARITY)]
-    classes = durable(texts.groupBy("digest").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("n", *maps, "prefix"))), "classes")
-    cells = durable(met(classes), "cells")
-    may = _may_be(F.col("n"), F.col("lead_n"), F.col("place"), F.col("lead_place"), similarity)
-    led = cells.where("digest <> lead").where(may).select(F.least("digest", "lead").alias("a"), F.greatest("digest", "lead").alias("b")).distinct()
-    first = durable(checked(led, docs, classes, words, similarity), "near")
-    rooted = classes.select("digest", *maps).join(components(first).withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    across = pairs_across(cells.join(rooted, "digest"), similarity).join(led, ["a", "b"], "left_anti")
-    near = first.union(checked(across, docs, classes, words, similarity))
-    of = lambda s: classes.select(F.col("digest").alias(f"_{s}"), F.col("least").alias(s))
-    named = near.select(F.col("a").alias("_a"), F.col("b").alias("_b")).join(of("a"), "_a").join(of("b"), "_b").select("a", "b")
-    copies = texts.select("digest", "doc_id").join(classes.select("digest", "least"), "digest").where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    return copies.union(named)
+    texts = scratch.table(prefixes(docs, words, similarity), "prefixes")
+    one = F.min(F.struct("doc_id", "n", "parity", "prefix")).alias("_")
+    classes = scratch.table(texts.groupBy("digest").agg(one).select("digest", F.col("_.doc_id").alias("least"), "_.n", "_.parity", "_.prefix"), "classes")
+    cells = scratch.table(met(classes, similarity), "cells")
+    led = cells.where("kind = 0 or lead <> 0").select(F.least("digest", "lead").alias("a"), F.greatest("digest", "lead").alias("b")).distinct()
+    first = checked(led, docs, classes, scratch, words, similarity)
+    members = cells.where(F.col("kind") == MEMBER)
+    if members.isEmpty():
+        return texts.select("doc_id", "digest"), first
+    roots = components(first, scratch).withColumnRenamed("node", "digest")
+    across = pairs_across(members, roots, classes, similarity).join(led, ["a", "b"], "left_anti")
+    return texts.select("doc_id", "digest"), first.union(checked(across, docs, classes, scratch, words, similarity))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = LONGER, similarity: float = 0.8) -> DataFrame:
     """The rows of df, but of each group only the one with the smallest id. A group is what two kinds of links connect: fingerprints within the threshold (near_duplicates), and Jaccard similarity of shingles of so many words from similarity on.
 
-    Ids are whole numbers. Rows with a null id stay; rows that repeat an id stay or go together. An empty table gives none.
+    Ids are whole numbers. Null and empty texts are one group. Rows with a null id stay; rows that repeat an id stay or go
+    together, and their texts' groups are one. An empty table gives none. Other columns stay as they are.
     """
+    spark = df.sparkSession
     docs = id_text(df, id_col, text_col).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-    gone = components(similar_links(docs, words, similarity).union(prints)).where("node <> root").select(F.col("node").alias("_gone"))
-    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    with Scratch(spark, "near") as scratch:
+        members, near = similar_links(docs, scratch, words, similarity)
+        prints = near_duplicates(docs, scratch=scratch).select("doc_id", F.col("component_id").alias("root"))
+        # What one id, or one component of fingerprints, holds is linked through the least digest of it.
+        grouped = scratch.table(members.join(prints, "doc_id").select("root", "digest").distinct(), "grouped")
+        least = grouped.groupBy("root").agg(F.min("digest").alias("least"))
+        links = grouped.join(least, "root").where("digest <> least").select(F.col("digest").alias("a"), F.col("least").alias("b"))
+        roots = components(near.union(links), scratch)
+        of = scratch.table(members.join(roots, F.col("digest") == F.col("node"), "left").select("doc_id", F.coalesce("root", "digest").alias("root")), "roots")
+        first = of.groupBy("root").agg(F.min("doc_id").alias("keeper"))
+        gone = durable(of.join(first, "root").where("doc_id <> keeper").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    rows = may_hold(df, id_col, gone)
+    rest = rows.where("_maybe").join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    return columns_of(rows.where("not _maybe").union(rest), df.columns)
