@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, durable, slices, text_bytes
+from .common import column, slices, text_bytes
 
 #: Columns of a vector, centroids of a language, and labelled rows of a language that the model is fitted on (those of least hash).
 COLUMNS, CENTROIDS, SAMPLE = 4096, 4, 400
@@ -26,6 +26,8 @@ REJECT_AT, SHARE = 1 / 3, 0.1
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 ROWS = 256
+#: Ranges of order for each doubling, by which the rows of least order are found.
+RANGES = 32
 
 
 def counts_of(texts: pa.Array) -> np.ndarray:
@@ -100,10 +102,21 @@ def remainder(id_col: str, modulus: int) -> Column:
 
 
 def fit(rows: DataFrame) -> Centroids | None:
-    """A model from rows (lang, text, order: those of least order are taken, SAMPLE of a language), or None without any."""
+    """A model from rows (lang, text, order: a 64-bit hash; those of least order as an unsigned number are taken, SAMPLE of a language), or None without any.
+
+    No language's rows meet in one task: counts by ranges of order, whose width follows their distance from the least one, say
+    where a language has enough rows, and only rows up to there, hardly more than SAMPLE, are ranked.
+    """
+    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    part = F.floor(F.log2((F.shiftrightunsigned("order", 11) + 1).cast("double")) * RANGES).cast("int")
+    ranges = labelled.groupBy("lang", part.alias("part")).count()
+    upto = F.sum("count").over(Window.partitionBy("lang").orderBy("part")) - F.col("count")
+    bounds = ranges.withColumn("before", upto).where(F.col("before") < SAMPLE).groupBy(F.col("lang").alias("_lang")).agg(F.max("part").alias("most"))
+    # bounds has a row for each language that the model has centroids of.
+    near = labelled.join(F.broadcast(bounds), F.col("lang") == F.col("_lang")).where(part <= F.col("most"))
+    near = near.select("lang", "text", F.shiftrightunsigned("order", 11).alias("order"), F.xxhash64("text").alias("key")).dropDuplicates(["lang", "order", "key"])
     least = F.row_number().over(Window.partitionBy("lang").orderBy("order", "key")) <= SAMPLE
-    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("key", F.xxhash64("text"))
-    chosen = durable(labelled.select("lang", "order", "key").distinct().withColumn("own", least).where("own").drop("own"), "sample")
+    sample = near.withColumn("_own", least).where("_own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -111,8 +124,7 @@ def fit(rows: DataFrame) -> Centroids | None:
                 counts = np.minimum(counts_of(column(batch, "text")), 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([column(batch, "lang"), pa.array([c.tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
-    # chosen has SAMPLE rows of each learned language: its size is bounded, and so is what the driver gets.
-    sample = labelled.join(F.broadcast(chosen), ["lang", "order", "key"], "left_semi").dropDuplicates(["lang", "order", "key"]).select("lang", "text", "order", "key")
+    # SAMPLE rows of each language at most: what the driver gets is bounded.
     found: dict[str, list] = {}
     for row in sample.select("lang", "text").mapInArrow(run, "lang string, counts binary").collect():
         found.setdefault(row.lang, []).append(bytes(row.counts))
