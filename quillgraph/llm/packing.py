@@ -59,13 +59,13 @@ class BestFit:
             free, at = self.capacity, self.bins
             self.bins += 1
         if free > n:
-            if self.count >= self.max_open:
-                self._take((self.bits & -self.bits).bit_length() - 1)
             left = free - n
             if not self.stacks[left]:
                 self.bits |= 1 << left
             self.stacks[left].append(at)
             self.count += 1
+            if self.count > self.max_open:  # the fullest closes, which may be the one just filled
+                self._take((self.bits & -self.bits).bit_length() - 1)
         return at, self.capacity - free
 
     def still_open(self) -> list[tuple[int, int]]:
@@ -175,23 +175,24 @@ def best_fit(pieces: DataFrame, capacity: int, max_open: int = MAX_OPEN, tasks:
     """The rows of pieces (doc_id, piece, length of 1 to capacity, and others) with sequence_id and offset: places in sequences of at most capacity units, without gaps.
 
     Ties go to the bin that was opened or left last. Repeated rows are placed each on their own; an empty table gives none. A
-    task's rows are sorted first, so that the result doesn't depend on the order in which shuffled rows arrive.
+    task's rows are sorted first, so that the result doesn't depend on the order in which shuffled rows arrive. Other columns stay;
+    those named sequence_id and offset give way to the places.
     """
     n = tasks or partitions(pieces.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, base = BestFit(capacity, max_open), TaskContext.get().partitionId() << 40
-        names = None
+        kind = None
         for batch in batches:
-            names = batch.schema
-            places = [fit.place(x) for x in column(batch, "length").to_pylist()]
+            row = column(batch, "_row")
+            kind = row.type
+            places = [fit.place(x) for x in column(batch, "_length").to_pylist()]
             at = np.array(places, np.int64).reshape(-1, 2)
             rest = pa.nulls(batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at[:, 0] + base), pa.array(at[:, 1]), rest], [*names.names, "sequence_id", "offset", "rest"])
-        if names is not None and (left := fit.still_open()):
+            yield pa.RecordBatch.from_arrays([row, pa.array(at[:, 0] + base), pa.array(at[:, 1]), rest], ["_row", "sequence_id", "offset", "rest"])
+        if kind is not None and (left := fit.still_open()):
             bins = pa.array([b + base for b, _ in left], pa.int64())
-            nulls = [pa.nulls(len(left), f.type) for f in names]
-            yield pa.RecordBatch.from_arrays([*nulls, bins, pa.nulls(len(left), pa.int64()), pa.array([x for _, x in left], pa.int64())], [*names.names, "sequence_id", "offset", "rest"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(left), kind), bins, pa.nulls(len(left), pa.int64()), pa.array([x for _, x in left], pa.int64())], ["_row", "sequence_id", "offset", "rest"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, base = BestFit(capacity, max_open), (TaskContext.get().partitionId() << 40) + (1 << 62)
@@ -199,15 +200,20 @@ def best_fit(pieces: DataFrame, capacity: int, max_open: int = MAX_OPEN, tasks:
             at = np.array([fit.place(x) for x in column(batch, "rest").to_pylist()], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([column(batch, "sequence_id"), pa.array(at[:, 0] + base), pa.array(at[:, 1])], ["sequence_id", "_to", "_base"])
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    dealt = pieces.repartition(n, F.xxhash64("doc_id"), "piece").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "piece")
-    placed = durable(dealt.mapInArrow(run, f"{columns}, sequence_id long, offset long, rest long"), "packed")
+    rows = pieces.select(F.struct(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(pieces.columns)]).alias("_row"), "doc_id", "piece", F.col("length").alias("_length"))
+    dealt = rows.repartition(n, F.xxhash64("doc_id"), "piece").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "piece", "_length").select("_row", "_length")
+    placed = durable(dealt.mapInArrow(run, f"_row {dealt.schema['_row'].dataType.simpleString()}, sequence_id long, offset long, rest long"), "packed")
     rests = placed.where("rest is not null").select("sequence_id", "rest")
     moved = rests.repartition(max(1, n // FAN_IN), "sequence_id").sortWithinPartitions(F.desc("rest"), "sequence_id").mapInArrow(again, "sequence_id long, _to long, _base long")
     out = placed.where("rest is null").drop("rest").join(moved, "sequence_id", "left")
-    return out.select(*pieces.columns, F.coalesce("_to", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("_base", F.lit(0))).alias("offset"))
+    carried = [F.col("_row").getField(f"_{k}").alias(c) for k, c in enumerate(pieces.columns) if c not in ("sequence_id", "offset")]
+    return out.select(*carried, F.coalesce("_to", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("_base", F.lit(0))).alias("offset"))
 
 
 def pack_documents(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
+
+    A null or empty text is one piece of end_id. Null ids and repeated rows are packed like others; an empty table gives none.
+    Other columns of df aren't read.
+    """
     return best_fit(cut_pieces(df, path, capacity, end_id, id_col, text_col), capacity)
