@@ -33,10 +33,11 @@ WORD = re.compile(r"\w+")
 def maximal_segments(steps: list[tuple[int, float]], length: int, drift: float) -> list[tuple[int, int, float]]:
     """(first, end, score) of all maximal-scoring segments of a text of length words, where steps has the words that score (place, score) and all others cost drift.
 
-    Linear in len(steps): candidates are kept with the sums before and after them, and a new one joins back to the nearest
-    candidate that begins lower, if that one ends lower too.
+    Linear in len(steps): candidates are kept with the sums before and after them and the nearest candidate before them that
+    begins lower; a new one joins back to that one if it ends lower too, and no candidate is looked at again that one of these
+    links passes over.
     """
-    found: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum after
+    found: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum after, link
     total, after = 0.0, 0
     for place, score in steps:
         total -= drift * (place - after)
@@ -45,17 +46,15 @@ def maximal_segments(steps: list[tuple[int, float]], length: int, drift: float)
         if score <= 0:
             continue
         first, low, high = place, before, total
-        while found:
-            # Candidates that begin no lower than this one can't be joined to it or to what comes later.
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= low:
-                k -= 1
-            if k < 0 or found[k][3] >= high:
-                break
-            first, low = found[k][0], found[k][2]
+        k = len(found) - 1
+        while k >= 0 and found[k][2] >= low:
+            k = found[k][4]
+        while k >= 0 and found[k][3] < high:
+            first, _, low, _, link = found[k]
             del found[k:]
-        found.append((first, place + 1, low, high))
-    return [(a, b, high - low) for a, b, low, high in found]
+            k = link
+        found.append((first, place + 1, low, high, k))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 class Model:
@@ -109,13 +108,17 @@ def calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
-    """A model from labelled rows of the training fold (crc32(id) mod 4 isn't 2), or None if a class is missing. Equal texts of the sample count once."""
+    """A model from labelled rows of the training fold (crc32(id) mod 4 isn't 2), or None if a class is missing.
+
+    Equal texts of the sample count once; one that is labelled both ways is toxic. Null texts, ids without a text, and labels
+    other than 0 and 1 teach nothing; an id with both labels is toxic.
+    """
     spark = docs.sparkSession
     known = labels.where((remainder(id_col, 4) != 2) & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("y"))
     # Each class has SAMPLE ids at most, so the ids may be broadcast.
     chosen = [durable(known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "sample") for y in (0, 1)]
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    sample = durable(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "y").dropDuplicates(["text"]), "sample")
+    sample = durable(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y")), "sample")
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return None
