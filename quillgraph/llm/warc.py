@@ -135,7 +135,7 @@ def write_archives(df: DataFrame, path: str, id_col: str = "page_id", url_col: s
     html = F.coalesce(F.col(payload_col), F.lit(""))
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
     known = revisits(pages)
-    laid = pages.join(known, ["page_id", "digest"], "left").sortWithinPartitions("page_id", "digest")
+    laid = pages.join(known, ["page_id", "digest"], "left").sortWithinPartitions("page_id", "digest", "url")
     return durable(laid.select("page_id", "url", "html", "refers_to", "digest").mapInArrow(run, "archive string, offset long, length long, page_id long, url string, digest string"), "index")
 
 
