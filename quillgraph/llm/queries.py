@@ -42,9 +42,10 @@ def op4_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import durable
     from .flac import read_media, write_media
 
-    return read_media(write_media(table(spark, sf_dir, "documents")))
+    return read_media(durable(write_media(table(spark, sf_dir, "documents")), "media"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
