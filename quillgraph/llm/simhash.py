@@ -200,8 +200,11 @@ def with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, root: the least node of the component of each node that has a link in links (a, b). Alternating star steps, each over a written table, until nothing changes."""
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """node, root: the least node of the component of each node that has a link in links (a, b). Alternating star steps, each over a written table, until nothing changes. With a scratch of the caller's, the result reads its tables."""
+    if scratch is None:
+        with Scratch(links.sparkSession, "links") as own:
+            return durable(components(links, own), "components")
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, state = scratch.table(edges, "links"), None
     while True:
