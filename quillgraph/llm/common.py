@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -70,6 +71,16 @@ class Scratch:
         self.count += 1
         return _written(df, f"{self.path}/{name}-{self.count}")
 
+    def drop(self, *names: str) -> None:
+        """Deletes the tables of these names. Has Spark delete the shuffle files of jobs that are over, too, which it does when the driver collects its garbage."""
+        fs, at = _file_system(self.spark, self.path)
+        for found in fs.listStatus(at):
+            path = found.getPath()
+            if path.getName().rpartition("-")[0] in names:
+                fs.delete(path, True)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

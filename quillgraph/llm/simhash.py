@@ -251,8 +251,8 @@ def as_hex(fp: str = "fp"):
 
 #: Rows of a key up to which all its pairs are checked at once, and rows of a larger one that one task compares with as many others.
 SMALL, BLOCK = 16, 4096
-#: Bits of a text's parity map, and documents and shingles of the order's sample.
-PARITY, SAMPLED, COMMON = 1024, 8000, 200_000
+#: Least bits of a text's parity map, bytes of maps that are compared at once, and documents and shingles of the order's sample.
+PARITY, MAPS_AT_ONCE, SAMPLED, COMMON = 256, 8 << 20, 8000, 200_000
 LONGER = 5
 
 
@@ -299,7 +299,7 @@ def prefixes(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> D
                 sets = shingle_sets(column(batch, "text").to_pylist(), words)
                 for found in sets:
                     digests.append(digest_of(found))
-                    parity.append(np.packbits(np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).tobytes())
+                    parity.append(parity_map(found))
                     signed = found.view(np.int64)
                     place = np.zeros(len(signed), np.int64)
                     if len(known):
@@ -313,6 +313,30 @@ def prefixes(docs: DataFrame, words: int = LONGER, similarity: float = 0.8) -> D
     return docs.mapInArrow(run, "doc_id long, digest long, n int, parity binary, prefix array<long>")
 
 
+def parity_map(found: np.ndarray) -> bytes:
+    """For each of some bits whether an odd number of hashes fall on it. 2 to 4 bits for each hash: a map of half as many bits is the exclusive or of its halves."""
+    bits = max(PARITY, 1 << (2 * len(found)).bit_length())
+    return np.packbits(np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def odd_bits(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """For pairs of parity maps the number of bits in which they differ, at the smaller one's size: no more than hashes that only one has."""
+    out = np.zeros(len(a), np.int64)
+    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
+    for la, lb in np.unique(sizes, axis=0).tolist():
+        rows = np.flatnonzero((sizes[:, 0] == la) & (sizes[:, 1] == lb))
+        step = max(1, MAPS_AT_ONCE // (la + lb))
+        for lo in range(0, len(rows), step):
+            part = rows[lo : lo + step]
+            x, y = (np.frombuffer(b"".join([m[k] for k in part.tolist()]), np.uint64).reshape(len(part), -1) for m in (a, b))
+            while x.shape[1] > y.shape[1]:
+                x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+            while y.shape[1] > x.shape[1]:
+                y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
+            out[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
 def digest_of(found: np.ndarray) -> int:
     """A set's hash as a signed number."""
     return int(np.array(xxhash.xxh64_intdigest(found.tobytes(), SEED), np.uint64).view(np.int64))
@@ -388,18 +412,18 @@ def met(sets: DataFrame, similarity: float) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(run, CELL)
 
 
-def pairs_across(members: DataFrame, roots: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """a, b: the pairs of each large key with different roots that sizes, places and parity maps allow. A key of many blocks is dealt out as pairs of blocks."""
+def pairs_across(members: DataFrame, roots: DataFrame, classes: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """a, b: the pairs with different roots that meet under large keys, as sizes, places and parity maps allow, each under the first key that both have of those with several roots (what meets under a smaller key before it is checked already). A key of many blocks is dealt out as pairs of blocks."""
     kinds = {"key": np.int64, "low": np.int64, "high": np.int64, "block": np.int64, "digest": np.int64, "spot": np.int64, "root": np.int64}
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        kept = [np.zeros(0, t) for t in kinds.values()] + [np.zeros((0, PARITY // 64), np.uint64)]
+        kept = [np.zeros(0, t) for t in kinds.values()] + [np.zeros(0, object)] * 2
         for batch in with_end(batches):
             if batch is not None:
                 for lo in range(0, batch.num_rows, BLOCK):
                     part = batch.slice(lo, BLOCK)
-                    maps = np.frombuffer(b"".join(column(part, "parity").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
-                    kept = [np.concatenate((x, y)) for x, y in zip(kept, [*(column(part, c).to_numpy() for c in kinds), maps], strict=True)]
+                    more = [column(part, c).to_numpy(zero_copy_only=False) for c in (*kinds, "parity", "before")]
+                    kept = [np.concatenate((x, y)) for x, y in zip(kept, more, strict=True)]
                     new = np.any([x[1:] != x[:-1] for x in kept[:3]], axis=0)
                     cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -409,7 +433,7 @@ def pairs_across(members: DataFrame, roots: DataFrame, classes: DataFrame, simil
                 yield kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, low, high, block, digest, spot, root, maps in groups(batches):
+        for _, low, high, block, digest, spot, root, maps, before in groups(batches):
             if root.min() == root.max():
                 continue
             left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
@@ -421,16 +445,22 @@ def pairs_across(members: DataFrame, roots: DataFrame, classes: DataFrame, simil
                 i, j = i[fine], j[fine]
                 fine = may_be(spot[i], spot[j], similarity)
                 i, j = i[fine], j[fine]
-                fine = np.bitwise_count(maps[i] ^ maps[j]).sum(1, dtype=np.int64) <= _apart(spot[i] >> 32, spot[j] >> 32, similarity)
+                fine = odd_bits(maps[i], maps[j]) <= _apart(spot[i] >> 32, spot[j] >> 32, similarity)
+                i, j = i[fine], j[fine]
+                had = {k: set(before[k].tolist()) for k in np.unique(i).tolist()}
+                fine = np.array([had[x].isdisjoint(before[y].tolist()) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
                 i, j = i[fine], j[fine]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(digest[i], digest[j])), pa.array(np.maximum(digest[i], digest[j]))], ["a", "b"])
 
     rooted = members.select("key", "digest", "spot", "block").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     several = rooted.groupBy("key").agg(F.max("block").alias("last"), F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h").select("key", "last")
-    dealt = rooted.join(several, "key").join(classes.select("digest", "parity"), "digest")
+    open_ = scratch.table(rooted.join(several, "key").withColumn("place", F.col("spot").bitwiseAND(0xFFFFFFFF)), "open")
+    places = open_.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("places"))
+    before = F.transform(F.filter("places", lambda x: x.place < F.col("place")), lambda x: x.key)
+    dealt = open_.join(places, "digest").join(classes.select("digest", "parity"), "digest").withColumn("before", before)
     dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
-    dealt = dealt.withColumns({"low": F.least("block", "_o"), "high": F.greatest("block", "_o")}).select(*kinds, "parity")
+    dealt = dealt.withColumns({"low": F.least("block", "_o"), "high": F.greatest("block", "_o")}).select(*kinds, "parity", "before")
     return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "digest").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -444,8 +474,7 @@ def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scra
 
     def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            maps = [np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint64).reshape(-1, PARITY // 64) for c in ("pa", "pb")]
-            fine = np.bitwise_count(maps[0] ^ maps[1]).sum(1, dtype=np.int64) <= _apart(column(batch, "na").to_numpy().astype(np.int64), column(batch, "nb").to_numpy(), similarity)
+            fine = odd_bits(*(column(batch, c).to_pylist() for c in ("pa", "pb"))) <= _apart(column(batch, "na").to_numpy().astype(np.int64), column(batch, "nb").to_numpy(), similarity)
             yield batch.select(["a", "b"]).filter(pa.array(fine))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,7 +491,9 @@ def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scra
     sets = scratch.table(some.mapInArrow(shingled, "digest long, shingles array<long>").dropDuplicates(["digest"]), "shingles")
     one = lambda s: sets.select(F.col("digest").alias(s), F.col("shingles").alias(f"_{s}"))
     both = F.size(F.array_intersect("_a", "_b"))
-    return scratch.table(open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "near")
+    near = scratch.table(open_.join(one("a"), "a").join(one("b"), "b").where(both >= similarity * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "near")
+    scratch.drop("pairs", "wanted", "shingles")
+    return near
 
 
 def similar_links(docs: DataFrame, scratch: Scratch, words: int = LONGER, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -473,17 +504,21 @@ def similar_links(docs: DataFrame, scratch: Scratch, words: int = LONGER, simila
     every pair of it that isn't connected yet is checked too, so that none is lost and a large group of near copies isn't
     expanded to pairs. Empty texts are one class.
     """
-    texts = scratch.table(prefixes(docs, words, similarity), "prefixes")
-    one = F.min(F.struct("doc_id", "n", "parity", "prefix")).alias("_")
-    classes = scratch.table(texts.groupBy("digest").agg(one).select("digest", F.col("_.doc_id").alias("least"), "_.n", "_.parity", "_.prefix"), "classes")
-    cells = scratch.table(met(classes, similarity), "cells")
+    sets = scratch.table(prefixes(docs, words, similarity), "prefixes")
+    texts = scratch.table(sets.select("doc_id", "digest", "n", "parity"), "texts")
+    # One row of each digest; rows that repeat an id and its text are alike.
+    leads = scratch.table(texts.groupBy("digest").agg(F.min("doc_id").alias("least")), "leads")
+    once = lambda of: of.join(leads.select(F.col("digest").alias("_d"), "least"), (F.col("doc_id") == F.col("least")) & (F.col("digest") == F.col("_d")))
+    classes = scratch.table(once(texts).select("digest", "least", "n", "parity").dropDuplicates(["digest"]), "classes")
+    cells = scratch.table(met(once(sets).select("digest", "n", "prefix"), similarity), "cells")
+    scratch.drop("prefixes", "leads")
     led = cells.where("kind = 0 or lead <> 0").select(F.least("digest", "lead").alias("a"), F.greatest("digest", "lead").alias("b")).distinct()
     first = checked(led, docs, classes, scratch, words, similarity)
     members = cells.where(F.col("kind") == MEMBER)
     if members.isEmpty():
         return texts.select("doc_id", "digest"), first
     roots = components(first, scratch).withColumnRenamed("node", "digest")
-    across = pairs_across(members, roots, classes, similarity).join(led, ["a", "b"], "left_anti")
+    across = pairs_across(members, roots, classes, scratch, similarity).join(led, ["a", "b"], "left_anti")
     return texts.select("doc_id", "digest"), first.union(checked(across, docs, classes, scratch, words, similarity))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, coded, column, columns_of, durable, may_hold, partitions, sequence_hash, slices
 
 #: Words of a window; words of the prefixes; segments or suffixes of a group that a task holds in memory at most.
-WINDOW, PREFIXES, GROUP = 20, (8, 14, 20), 4096
+WINDOW, PREFIXES, GROUP = 20, (8, 14, 20), 1024
 SPAN = WINDOW - PREFIXES[0] + 1
 TEXT_AT_ONCE = 1 << 20
 #: What stands for a null id.
