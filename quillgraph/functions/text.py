@@ -1,7 +1,7 @@
 """Text functions as Column expressions, all within the JVM.
 
-Case folding is lower() and the folds below; Java's regular expressions get (?U) where word characters must be
-Unicode's, and a class of their own for white space. Arguments that a lambda refers to should be columns, not long expressions: they are evaluated for each element.
+Case folding is lower() and the folds below; regular expressions get classes of their own for word characters and white space,
+as Java's differ from version to version. Arguments that a lambda refers to should be columns, not long expressions: they are evaluated for each element.
 """
 
 from __future__ import annotations
@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 
 #: Characters whose case fold differs from their lower case, with the fold.
 FOLDS = {"ß": "ss", "ς": "σ", "ſ": "s", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+#: All other characters whose fold is one character and not their lower case, by Python's tables.
+SINGLE = {c: c.casefold() for c in map(chr, range(128, 0x110000)) if c.casefold() != c.lower() and len(c.casefold()) == 1 and c not in FOLDS}
 #: Characters stripped from both ends of entities and titles, and of headings.
 EDGES, HEADING_EDGES = " \t\r\n-:;,.", " \t\r\n#-:;,."
 #: What counts as white space, as characters and as a class of patterns. Plain classes are faster than (?U)\s.
 SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 S = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+#: Characters of words, and borders of words.
+W = r"[\p{L}\p{N}_]"
+BEGIN, END = f"(?<!{W})", f"(?!{W})"
+#: The patterns of tokens and of names.
 WORD = r"[a-z0-9]+(?:'[a-z0-9]+)?"
-PROPER = r"\b(?:[A-Z][a-z]+|[A-Z]{2,})(?:[ \t]+(?:[A-Z][a-z]+|[A-Z]{2,}))*\b"
+PROPER = BEGIN + r"(?:[A-Z][a-z]+|[A-Z]{2,})(?:[ \t]+(?:[A-Z][a-z]+|[A-Z]{2,}))*" + END
 #: Words that head sections and aren't names.
 SECTION_WORDS = ["Article", "Context", "Cross", "Discussion", "Document", "Entities", "Interaction", "Integrated", "Relation", "Relations", "Shared", "Synthesis"]
 
@@ -27,10 +33,11 @@ def col(x: str | Column) -> Column:
 
 
 def fold(x: str | Column) -> Column:
+    """Case folding. Characters whose fold is several ones stay lower-case unless FOLDS has them."""
     out = F.lower(col(x))
     for a, b in FOLDS.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return F.translate(out, "".join(SINGLE), "".join(SINGLE.values()))
 
 
 def strip(x: str | Column) -> Column:
@@ -62,7 +69,7 @@ def entity_key(x: str | Column) -> Column:
 
 def entity_normal_key(x: str | Column) -> Column:
     """entity_key() without characters at the ends that aren't word characters."""
-    return F.regexp_replace(entity_key(x), r"(?U)^[^\w]+|[^\w]+$", "")
+    return F.regexp_replace(entity_key(x), f"^{W.replace('[', '[^', 1)}+|{W.replace('[', '[^', 1)}+$", "")
 
 
 def clean_entity(x: str | Column) -> Column:
@@ -149,7 +156,7 @@ def proper_nouns(x: str | Column) -> Column:
 def mentions(entity: str | Column, text: str | Column) -> Column:
     """How often entity stands in text between characters that aren't word characters, whatever its case; 0 for an empty one."""
     quoted = F.concat(F.lit(r"\Q"), F.replace(col(entity), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    pattern = F.concat(F.lit(r"(?iU)(?<!\w)"), quoted, F.lit(r"(?!\w)"))
+    pattern = F.concat(F.lit("(?iu)" + BEGIN), quoted, F.lit(END))
     return F.when(strip(entity) == "", F.lit(0)).otherwise(F.size(F.regexp_extract_all(col(text), pattern, F.lit(0))))
 
 
@@ -168,6 +175,11 @@ def round4(x: Column) -> Column:
     x times 10,000 is split into its double and the rest that the double lacks (x in two parts of 26 bits each times 10,000 is
     exact), and the rest decides where the double lies half way.
     """
+    # x is a lambda's argument, so that it is evaluated once, however often it is named.
+    return F.transform(F.array(x), _rounded)[0]
+
+
+def _rounded(x: Column) -> Column:
     p = x * 10000.0
     c = x * 134217729.0
     high = c - (c - x)

@@ -110,7 +110,7 @@ def measured(rows: DataFrame) -> DataFrame:
     support = F.filter(F.transform(F.coalesce("support_ids", F.array().cast("array<string>")), lambda s: F.btrim(s, F.lit("[] "))), lambda s: s != "")
     cited = F.array_distinct(F.regexp_extract_all(F.coalesce("reasoning", F.lit("")), F.lit(r"\[(\d+)\]"), F.lit(1)))
     size = lambda c: F.size(c).cast("long")
-    return rows.withColumns({
+    measures = {
         "n_selected": size("selected"),
         "n_supported": size(F.when(F.col("mode") == "cross_doc", every).otherwise(some)),
         "n_mentioned": size("_mentioned"),
@@ -125,7 +125,11 @@ def measured(rows: DataFrame) -> DataFrame:
         "n_tokens": size("_tokens"),
         "n_cited": size(F.when(F.size(support) > 0, F.array_intersect(support, cited)).otherwise(cited)),
         "n_missing": (F.size("ids") - F.size("_docs")).cast("long"),
-    }).drop("_keys", "_tokens", "_names", "_norm", "_grams", "_docs", "_mentioned", "_allowed", "_spoken", "_spokenkeys")
+    }
+    # Through a generator, which the optimizer doesn't merge with what reads the measures: they are computed once a row.
+    gone = {"_keys", "_tokens", "_names", "_norm", "_grams", "_docs", "_mentioned", "_allowed", "_spoken", "_spokenkeys"}
+    once = F.explode(F.array(F.struct(*[x.alias(c) for c, x in measures.items()]))).alias("_m")
+    return rows.select(*[c for c in rows.columns if c not in gone], once).select("*", "_m.*").drop("_m")
 
 
 def scored(rows: DataFrame, config: EvaluateConfig = EvaluateConfig()) -> DataFrame:

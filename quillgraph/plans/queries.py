@@ -129,29 +129,31 @@ def token_5grams(spark, sf):
     return d.select("doc_id", F.size(t.ngrams("toks")).cast("long").alias("n_distinct_5grams"))
 
 
-@query(r"SELECT doc_id, pos, regexp_replace(lower(trim(regexp_replace(' -' || upper(key) || '  ' || key || ';', '\s+', ' ', 'g'))), '^\W+|\W+$', '', 'g') AS key FROM ents WHERE key = regexp_replace(key, '[^a-z0-9]', '', 'g')", ENTS)
+@query(r"SELECT doc_id, pos, regexp_replace(lower(trim(regexp_replace(' -' || upper(key) || '  ' || key || ';', '\s+', ' ', 'g'))), '^\W+|\W+$', '', 'g') AS key FROM ents", ENTS)
 def entity_keys(spark, sf):
-    rows = with_ents(spark, sf).select("doc_id", F.posexplode("entities").alias("pos", "e")).where(~F.regexp_like("e", F.lit("[^a-z0-9]")))
+    rows = with_ents(spark, sf).select("doc_id", F.posexplode("entities").alias("pos", "e"))
     return rows.select("doc_id", "pos", t.entity_normal_key(F.concat(F.lit(" -"), F.upper("e"), F.lit("  "), "e", F.lit(";"))).alias("key"))
 
 
-@query("SELECT doc_id, string_agg(key, '|' ORDER BY pos) AS entities FROM ents WHERE pos < 6 GROUP BY doc_id", ENTS)
+@query("SELECT doc_id, string_agg(key, '|' ORDER BY pos) AS entities FROM ents GROUP BY doc_id", ENTS)
 def normalize_entities(spark, sf):
     """Decorated, doubled and too short entities go in; the clean ones come out."""
-    rows = with_ents(spark, sf).withColumn("_e", F.slice("entities", 1, 6))
-    messy = F.flatten(F.transform("_e", lambda e: F.array(F.concat(F.lit(" -"), e, F.lit("; ")), e, F.lit(" x."))))
+    rows = with_ents(spark, sf)
+    messy = F.flatten(F.transform("entities", lambda e: F.array(F.concat(F.lit(" -"), e, F.lit("; ")), e, F.lit(" x."))))
     return rows.withColumn("_m", messy).select("doc_id", joined(t.normalized_entities("_m", 2)).alias("entities"))
 
 
 PROPER = r"\b(?:[A-Z][a-z]+|[A-Z]{2,})(?:[ \t]+(?:[A-Z][a-z]+|[A-Z]{2,}))*\b"
+#: RE2's borders of words know ASCII only. So letters and digits beyond it become underscores first, and other characters beyond it control characters.
+PLAIN = r"regexp_replace(regexp_replace({}, '[^\x00-\x7F\p{{L}}\p{{N}}]', chr(1), 'g'), '[^\x00-\x7F]', '_', 'g')"
 HEADS = "(" + ", ".join(f"'{w}'" for w in t.SECTION_WORDS) + ")"
 
 
 @query(f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos, phrase FROM
- (SELECT doc_id, unnest(l) AS phrase, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{PROPER}') AS l FROM docs WHERE regexp_full_match(text, '[\\x00-\\x7F]*')))
+ (SELECT doc_id, unnest(l) AS phrase, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all({PLAIN.format('text')}, '{PROPER}') AS l FROM docs))
  WHERE phrase NOT IN {HEADS} AND (contains(phrase, ' ') OR phrase IN ('LLM', 'CPT'))""", DOCS)
 def proper_nouns(spark, sf):
-    d = corpus(spark, sf).where(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]"))).select("doc_id", t.proper_nouns("text").alias("p"))
+    d = corpus(spark, sf).select("doc_id", t.proper_nouns("text").alias("p"))
     return d.select("doc_id", F.posexplode("p").alias("pos", "phrase"))
 
 
@@ -217,24 +219,19 @@ def entity_totals(spark, sf):
     return d.select("doc_id", F.size("entities").alias("m")).join(chosen, "doc_id").agg(total("m").alias("extracted_total"), total("n").alias("selected_total"))
 
 
-# A whole word between characters that aren't word characters: in ASCII texts, where both engines agree on what those are.
-ASCII = r"regexp_full_match({}, '[\x00-\x7F]*')"
+# A whole word between characters that aren't word characters: each of these gets spaces around it, and an entity counts between spaces.
+SPACED = r"' ' || regexp_replace(lower({}), '([^\p{{L}}\p{{N}}_])', ' \1 ', 'g') || ' '"
 SCORES = ENTS + f""", total AS (SELECT count(*) AS n FROM lists),
  dfs AS (SELECT key, count(DISTINCT doc_id) AS df FROM ents GROUP BY key),
- raw AS MATERIALIZED (SELECT e.doc_id, e.pos, e.key, (len(string_split(regexp_replace(lower(d.text), '[^a-z0-9_]', ' ', 'g'), ' ')) - len(list_filter(string_split(regexp_replace(lower(d.text), '[^a-z0-9_]', ' ', 'g'), ' '), lambda x: x <> e.key))) AS m, instr(lower(d.text), e.key) - 1 AS first, length(d.text) AS n_chars, f.df, t.n
-  FROM ents e JOIN docs d USING (doc_id) JOIN dfs f USING (key) CROSS JOIN total t WHERE {ASCII.format('d.text')} AND regexp_full_match(e.key, '[a-z0-9]*')),
+ spaced AS MATERIALIZED (SELECT doc_id, {SPACED.format('text')} AS s, {FOLD.format('text')} AS t FROM docs),
+ raw AS MATERIALIZED (SELECT e.doc_id, e.pos, e.key, (length(d.s) - length(replace(d.s, {SPACED.format('e.key')}, ''))) // length({SPACED.format('e.key')}) AS m, instr(d.t, e.key) - 1 AS first, length(d.t) AS n_chars, f.df, t.n
+  FROM ents e JOIN spaced d USING (doc_id) JOIN dfs f USING (key) CROSS JOIN total t),
  parts AS MATERIALIZED (SELECT *, 0.7::DOUBLE * (CASE WHEN m > 0 THEN least(1.0::DOUBLE, ln(1 + m::DOUBLE) / ln(6::DOUBLE)) ELSE 0 END) + 0.2::DOUBLE * (CASE WHEN m > 0 AND first >= 0 THEN 1.0::DOUBLE - least(1.0::DOUBLE, first::DOUBLE / greatest(1, n_chars)::DOUBLE) ELSE 0 END) + 0.1::DOUBLE / (1.0::DOUBLE + pos) AS imp, ln((n + 1)::DOUBLE / greatest(1, df)::DOUBLE) / ln((n + 1)::DOUBLE) AS rar FROM raw)"""
 
 
-def ascii_ents(spark, sf) -> DataFrame:
-    d = with_ents(spark, sf)
-    return d.withColumn("_ascii", ~F.regexp_like("text", F.lit(r"[^\x00-\x7F]")) & F.forall("entities", lambda e: ~F.regexp_like(e, F.lit("[^a-z0-9]"))))
-
-
 @query("SELECT doc_id, pos, key, CAST(m AS INTEGER) AS mentions FROM parts", SCORES)
 def entity_mentions(spark, sf):
-    d = with_ents(spark, sf).where(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]")))
-    rows = d.select("doc_id", "text", F.posexplode("entities").alias("pos", "key")).where(~F.regexp_like("key", F.lit("[^a-z0-9]")))
+    rows = with_ents(spark, sf).select("doc_id", "text", F.posexplode("entities").alias("pos", "key"))
     return rows.select("doc_id", "pos", "key", t.mentions("key", "text").alias("mentions"))
 
 
@@ -245,8 +242,7 @@ def six(x: Column) -> Column:
 def score_query(strategy: str):
     def f(spark, sf):
         d = with_ents(spark, sf)
-        ascii_ = d.where(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]"))).select("doc_id")
-        rows = entities.scored(d, d, strategy).join(ascii_, "doc_id", "left_semi").where(~F.regexp_like("key", F.lit("[^a-z0-9]")))
+        rows = entities.scored(d, d, strategy)
         return rows.select("doc_id", "pos", "key", six(F.col("score")).alias("score"))
 
     return f
@@ -260,8 +256,8 @@ ORACLES["entity_rarity"] = f"WITH {SCORES} SELECT doc_id, pos, key, CAST(floor(r
 
 def select_query(strategy: str):
     def f(spark, sf):
-        d = ascii_ents(spark, sf)
-        chosen = entities.select_entities(d, d, 4, strategy, 6).where("_ascii")
+        d = with_ents(spark, sf)
+        chosen = entities.select_entities(d, d, 4, strategy, 6)
         original = chosen.select("doc_id", F.col("entities").alias("_chosen"))
         rows = d.select("doc_id", F.posexplode("entities").alias("pos", "key")).join(original, "doc_id")
         return rows.where(F.array_contains("_chosen", F.col("key"))).select("doc_id", "pos", "key")
@@ -271,8 +267,8 @@ def select_query(strategy: str):
 
 for _name, _score in {"llm_order": "-pos", "importance": "floor(imp * 1e6 + 0.5)", "rarity": "floor(rar * 1e6 + 0.5)", "hybrid": "floor((0.65::DOUBLE * imp + 0.35::DOUBLE * rar) * 1e6 + 0.5)"}.items():
     QUERIES[f"select_entities_{_name}"] = select_query(_name.replace("_", "-"))
-    ORACLES[f"select_entities_{_name}"] = f"""WITH {SCORES}, whole AS (SELECT doc_id FROM ents GROUP BY doc_id HAVING bool_and(regexp_full_match(key, '[a-z0-9]*')))
- SELECT doc_id, pos, key FROM parts SEMI JOIN whole USING (doc_id) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {_score} DESC, pos) <= 4"""
+    ORACLES[f"select_entities_{_name}"] = f"""WITH {SCORES}
+ SELECT doc_id, pos, key FROM parts QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {_score} DESC, pos) <= 4"""
 
 
 # Combinations within a document.
@@ -639,23 +635,19 @@ def run_stats(spark, sf):
     return both.agg(F.lit("single_doc").alias("mode"), F.count("*").alias("considered"), count(F.col("todo")).alias("tasks"), count(~F.col("todo")).alias("skipped"), count(F.col("todo") & F.col("error").isNull()).alias("generated"), count(F.col("error").isNotNull()).alias("failed"))
 
 
-# Evaluation, of rows made from the corpus: one for each document in ASCII with entities, of four modes, some of them bad.
-
-
-def ascii_docs(spark, sf) -> DataFrame:
-    return with_ents(spark, sf).where(~F.regexp_like("text", F.lit(r"[^\x00-\x7F]")))
+# Evaluation, of rows made from the corpus: one for each document with entities, of four modes, some of them bad.
 
 
 def generated_rows(spark, sf) -> DataFrame:
     i = F.col("source_index")
     kind, e1, e2 = i % 4, F.col("entities")[0], F.coalesce(F.try_element_at("entities", F.lit(2)), F.lit("nothing"))
     names = F.when(i % 6 == 0, " Grand Gamma Unit and Alpha Beta met Alpha Beta.").otherwise("")
-    body = F.concat(F.lit("### Discussion of "), e1, F.lit("\n"), F.substring("text", 1, 300), F.lit("\n### Interaction\n"), e1, F.lit(" is connected with "), e2, F.lit(" because of shared context."), names, F.lit("\n\n### Context\nThe Context Discussion."))
+    body = F.concat(F.lit("### Discussion of "), e1, F.lit("\n"), F.col("text"), F.lit("\n### Interaction\n"), e1, F.lit(" is connected with "), e2, F.lit(" because of shared context."), names, F.lit("\n\n### Context\nThe Context Discussion."))
     body = F.when(i % 20 == 5, "").when(i % 12 == 7, F.col("text")).otherwise(body)
     rel = lambda k, p: F.when(kind == k, F.concat(F.lit(p), i.cast("string")))
     none = F.lit(None)
     modes = F.when(kind == 0, "single_doc").when(kind == 1, "cross_doc").when(kind == 2, "sog_lite").otherwise("longfaith_qa")
-    return ascii_docs(spark, sf).select(
+    return with_ents(spark, sf).select(
         i.alias("row_index"), rel(0, "r").alias("relation_id"), rel(1, "g").alias("graph_id"), F.when(kind >= 2, F.concat(F.lit("p"), i.cast("string"))).alias("path_id"), none.cast("string").alias("long_context_id"), rel(3, "q").alias("qa_id"),
         F.when(kind == 0, F.col("doc_id")).alias("doc_id"),
         F.when((kind == 1) & (i % 3 == 0), F.array("doc_id", "doc_id")).when(kind == 1, F.array(F.col("doc_id"), (i + 1).cast("string"))).when(kind >= 2, F.array("doc_id")).alias("doc_ids"),
@@ -668,7 +660,7 @@ def generated_rows(spark, sf) -> DataFrame:
 
 
 def evaluation(spark, sf) -> DataFrame:
-    found = evaluate.sources(ascii_docs(spark, sf))
+    found = evaluate.sources(with_ents(spark, sf))
     return evaluate.evaluated(generated_rows(spark, sf), found)
 
 
@@ -683,22 +675,22 @@ def rounded(x: str) -> str:
 
 STOP = "(" + ", ".join(f"'{w}'" for w in evaluate.STOPWORDS) + ")"
 TERMS = "(" + ", ".join(f"'{w}'" for w in evaluate.RELATION_TERMS) + ")"
-GEN = ENTS + f""", adocs AS MATERIALIZED (SELECT d.*, l.entities FROM docs d JOIN lists l USING (doc_id) WHERE {ASCII.format('text')}),
+GEN = ENTS + f""", adocs AS MATERIALIZED (SELECT d.*, l.entities FROM docs d JOIN lists l USING (doc_id)),
  gen0 AS (SELECT *, source_index AS i, source_index % 4 AS kind, entities[1] AS e1, coalesce(entities[2], 'nothing') AS e2 FROM adocs),
- gen1 AS (SELECT *, CASE WHEN i % 20 = 5 THEN '' WHEN i % 12 = 7 THEN text ELSE '### Discussion of ' || e1 || chr(10) || substr(text, 1, 300) || E'\n### Interaction\n' || e1 || ' is connected with ' || e2 || ' because of shared context.' || CASE WHEN i % 6 = 0 THEN ' Grand Gamma Unit and Alpha Beta met Alpha Beta.' ELSE '' END || E'\n\n### Context\nThe Context Discussion.' END AS body0 FROM gen0),
+ gen1 AS (SELECT *, CASE WHEN i % 20 = 5 THEN '' WHEN i % 12 = 7 THEN text ELSE '### Discussion of ' || e1 || chr(10) || text || E'\n### Interaction\n' || e1 || ' is connected with ' || e2 || ' because of shared context.' || CASE WHEN i % 6 = 0 THEN ' Grand Gamma Unit and Alpha Beta met Alpha Beta.' ELSE '' END || E'\n\n### Context\nThe Context Discussion.' END AS body0 FROM gen0),
  gen AS MATERIALIZED (SELECT i AS row_index, CASE kind WHEN 0 THEN 'single_doc' WHEN 1 THEN 'cross_doc' WHEN 2 THEN 'sog_lite' ELSE 'longfaith_qa' END AS mode, substr('rgpq', CAST(kind AS INTEGER) + 1, 1) || i AS generated_id,
   CASE WHEN kind = 1 AND i % 3 = 0 THEN [doc_id, doc_id] WHEN kind = 1 THEN [doc_id, CAST(i + 1 AS VARCHAR)] ELSE [doc_id] END AS ids, CASE kind WHEN 0 THEN entities WHEN 3 THEN entities[1:3] ELSE entities[1:2] END AS selected,
   CASE WHEN kind <> 3 THEN body0 ELSE 'Why ' || e1 || '?' || CASE WHEN body0 = '' THEN '' ELSE E'\n\n' || body0 END || E'\n\n' || CASE WHEN i % 8 = 3 THEN 'First [1], then [2].' ELSE 'Only [1] and [1].' END END AS body,
   CASE WHEN kind <> 3 OR i % 8 = 3 THEN 2 ELSE 1 END AS n_cited, CASE WHEN i % 9 <> 0 THEN title END AS title, i % 13 = 0 AS failed, CASE WHEN i % 13 = 0 THEN 'failed' END AS error, entities, kind, CASE WHEN i % 7 = 0 THEN 'contrastive' ELSE 'default' END AS style, body0 FROM gen1),
  gtok AS MATERIALIZED (SELECT row_index, {toks('body')} AS toks FROM gen), gnorm AS (SELECT row_index, toks, array_to_string(toks, ' ') AS norm FROM gtok),
  gwords AS (SELECT row_index, unnest(toks) AS w, generate_subscripts(toks, 1) AS i FROM gtok),
- src AS MATERIALIZED (SELECT a.doc_id, array_to_string(t.toks, ' ') AS norm, a.entities AS keys, list_transform(list_filter(regexp_extract_all(a.title || chr(10) || a.text, '{PROPER}'), lambda p: contains(p, ' ') AND p NOT IN {HEADS}), lambda p: {norm('p')}) AS names FROM adocs a JOIN tok t USING (doc_id)),
+ src AS MATERIALIZED (SELECT a.doc_id, array_to_string(t.toks, ' ') AS norm, a.entities AS keys, list_transform(list_filter(regexp_extract_all({PLAIN.format('a.title || chr(10) || a.text')}, '{PROPER}'), lambda p: contains(p, ' ') AND p NOT IN {HEADS}), lambda p: {norm('p')}) AS names FROM adocs a JOIN tok t USING (doc_id)),
  gids AS (SELECT row_index, unnest(ids) AS doc_id, generate_subscripts(ids, 1) AS p FROM gen), gsrc AS MATERIALIZED (SELECT g.row_index, g.p, s.* FROM gids g JOIN src s USING (doc_id)),
  sel AS (SELECT row_index, mode, unnest(selected) AS e FROM gen),
  sup AS (SELECT s.row_index, s.mode, s.e, count(g.doc_id) AS nd, count(*) FILTER (g.doc_id IS NOT NULL AND (list_contains(g.keys, s.e) OR contains(g.norm, s.e))) AS nh FROM sel s LEFT JOIN gsrc g USING (row_index) GROUP BY ALL),
  support AS (SELECT row_index, CAST(count(*) AS BIGINT) AS n_selected, CAST(count(*) FILTER (CASE WHEN mode = 'cross_doc' THEN nh = nd ELSE nh > 0 END) AS BIGINT) AS n_supported FROM sup GROUP BY row_index),
  mention AS (SELECT s.row_index, CAST(count(*) FILTER (contains(n.norm, s.e)) AS BIGINT) AS n_mentioned FROM sel s JOIN gnorm n USING (row_index) GROUP BY s.row_index),
- phr0 AS (SELECT row_index, unnest(l) AS phrase, generate_subscripts(l, 1) AS i FROM (SELECT row_index, regexp_extract_all(body, '{PROPER}') AS l FROM gen)),
+ phr0 AS (SELECT row_index, unnest(l) AS phrase, generate_subscripts(l, 1) AS i FROM (SELECT row_index, regexp_extract_all({PLAIN.format('body')}, '{PROPER}') AS l FROM gen)),
  phr AS (SELECT row_index, phrase, i, {norm('phrase')} AS key FROM phr0 WHERE phrase NOT IN {HEADS} AND (contains(phrase, ' ') OR phrase IN ('LLM', 'CPT')) AND len(list_filter(regexp_split_to_array(phrase, '\\s+'), lambda w: w NOT IN {HEADS})) > 0),
  allowed AS (SELECT row_index, e AS key FROM sel UNION SELECT row_index, unnest(keys) FROM gsrc UNION SELECT row_index, unnest(names) FROM gsrc),
  unsup AS MATERIALIZED (SELECT row_index, phrase, i FROM phr ANTI JOIN allowed USING (row_index, key) QUALIFY row_number() OVER (PARTITION BY row_index, key ORDER BY i) = 1),
@@ -729,7 +721,7 @@ def classify_mode(spark, sf):
 
 @query("SELECT a.doc_id, CASE WHEN a.source_index % 3 = 0 THEN 'cached' ELSE array_to_string(a.entities, '|') END AS entities FROM adocs a", GEN)
 def eval_sources(spark, sf):
-    d = ascii_docs(spark, sf)
+    d = with_ents(spark, sf)
     cache = d.where("source_index % 3 = 0").select("doc_id", F.array(F.lit("cached")).alias("entities"))
     return evaluate.sources(d, cache).select("doc_id", joined("entities").alias("entities"))
 
