@@ -36,8 +36,14 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+#: Rows of an Arrow batch at most, unless the session sets its own number: whole texts of Spark's 10,000 rows take much memory on both sides of a Python worker.
+BATCH_ROWS, SPARKS_ROWS = 2000, "10000"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder, which Hadoop's file system deletes when the application ends."""
+    """A new place in the shared folder, which Hadoop's file system deletes when the application ends. Sees to smaller Arrow batches, too."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == SPARKS_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     fs, at = _file_system(spark, path)
     fs.deleteOnExit(at)
