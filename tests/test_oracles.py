@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 from collections import Counter
 
 import duckdb
@@ -11,7 +13,7 @@ import pytest
 
 from quillgraph.plans.registry import ORACLES, QUERIES
 
-from .conftest import SF
+from .conftest import ROOT, SF
 
 
 def connection():
@@ -47,3 +49,10 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_queries_without_the_llm_subpackage():
+    """What can't be imported takes none of the other queries along."""
+    code = "import sys; sys.modules['tiktoken'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert out == [str(len(QUERIES)), str(len(ORACLES))]
