@@ -38,7 +38,7 @@ class GenerateConfig:
     id_key: str | None = None
     max_docs: int | None = None
     min_entity_chars: int = 2
-    max_entities: int = 0
+    max_entities: int = 60
     entity_strategy: str = "llm-order"
     combo_sizes: tuple[int, ...] = (2, 3)
     max_combos: int | None = None

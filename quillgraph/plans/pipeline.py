@@ -121,7 +121,7 @@ def run(spark: SparkSession, config: GenerateConfig, documents: DataFrame | str,
     scan = jsonl.scan(spark, documents) if isinstance(documents, str) else documents
     docs = jsonl.documents(scan, config.text_key, config.title_key, config.id_key, config.max_docs).drop("raw").persist()
     records = refreshed_cache(docs, cache, factory, config)
-    chosen = entities.select_entities(records, docs, config.max_entities, config.entity_strategy) if config.max_entities > 0 else records
+    chosen = entities.select_entities(records, docs, config.max_entities, config.entity_strategy)
     chosen = chosen.persist()
     full = entities.with_entities(docs, chosen).persist()
     total = lambda df: int(df.agg(F.coalesce(F.sum(F.size("entities")), F.lit(0))).first()[0])
