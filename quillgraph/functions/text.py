@@ -1,6 +1,6 @@
 """Text functions as Column expressions, all within the JVM.
 
-Case folding is lower() and the folds below; regular expressions get classes of their own for word characters and white space,
+Case folding is lower(upper()) and the tables below; regular expressions get classes of their own for word characters and white space,
 as Java's differ from version to version. Arguments that a lambda refers to should be columns, not long expressions: they are evaluated for each element.
 """
 
@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Characters whose case fold differs from their lower case, with the fold.
-FOLDS = {"ß": "ss", "ς": "σ", "ſ": "s", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
-#: All other characters whose fold is one character and not their lower case, by Python's tables.
-SINGLE = {c: c.casefold() for c in map(chr, range(128, 0x110000)) if c.casefold() != c.lower() and len(c.casefold()) == 1 and c not in FOLDS}
+#: Characters that upper() would lose, with what stands for them meanwhile (for the dotless i, which folds to itself, a noncharacter), and the way back.
+BEFORE, BETWEEN = {"ẞ": "ß", "ı": "\ufdd0"}, {"\ufdd0": "ı"}
+#: Characters that lower(upper()) leaves and that fold to another one (final sigma, Cherokee), by Python's tables.
+AFTER = {c: c.casefold() for c in map(chr, range(128, 0x110000)) if len(c.casefold()) == 1 and c.casefold() != c and c.upper().lower() == c} | {"ς": "σ"}
 #: Characters stripped from both ends of entities and titles, and of headings.
 EDGES, HEADING_EDGES = " \t\r\n-:;,.", " \t\r\n#-:;,."
 #: What counts as white space, as characters and as a class of patterns. Plain classes are faster than (?U)\s.
@@ -32,12 +32,15 @@ def col(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _mapped(x: Column, table: dict[str, str]) -> Column:
+    return F.translate(x, "".join(table), "".join(table.values()))
+
+
 def fold(x: str | Column) -> Column:
-    """Case folding. Characters whose fold is several ones stay lower-case unless FOLDS has them."""
-    out = F.lower(col(x))
-    for a, b in FOLDS.items():
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.translate(out, "".join(SINGLE), "".join(SINGLE.values()))
+    """Full case folding of every character, also of those whose fold is several: the lower case of the upper case, but for the characters of the tables."""
+    # With nothing between them, the optimizer would take lower(upper()) for lower().
+    upper = F.upper(_mapped(col(x), BEFORE))
+    return _mapped(F.lower(_mapped(upper, BETWEEN)), AFTER)
 
 
 def strip(x: str | Column) -> Column:
