@@ -8,37 +8,69 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 
 
-def with_ordinal(lines: DataFrame, name: str) -> DataFrame:
-    """Scanned lines with a number from 0 on, without gaps, in the order of files and places.
+def with_ordinal(lines: DataFrame, name: str, each_file: bool = False) -> DataFrame:
+    """Scanned lines with a number from 0 on, without gaps, in the order of files and places; from 0 on again in each file if each_file.
 
-    Each partition of a file scan counts its own rows; only these counts, one for each partition, come to the driver.
+    Each partition of a file scan counts its own rows; only these counts, one for each partition (and file), come to the driver.
     """
     spark = lines.sparkSession
     marked = lines.withColumns({"_part": F.spark_partition_id(), "_in": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    at = F.min(F.struct("_file", "_start"))
-    counts = sorted(marked.groupBy("_part").agg(at.alias("at"), F.count("*").alias("n")).collect(), key=lambda r: tuple(r["at"]))
-    base, rows = 0, []
-    for r in counts:
-        rows.append((r["_part"], base))
-        base += r["n"]
-    starts = spark.createDataFrame(rows, "_part int, _base long")
-    out = marked.join(F.broadcast(starts), "_part")
+    by = ["_part", "_file"] if each_file else ["_part"]
+    counts = marked.groupBy(*by).agg(F.min(F.struct("_file", "_start")).alias("at"), F.min("_in").alias("first"), F.count("*").alias("n")).collect()
+    done, rows = {}, []
+    for r in sorted(counts, key=lambda r: tuple(r["at"])):
+        file = r["at"]["_file"] if each_file else None
+        rows.append((r["_part"], r["at"]["_file"], done.get(file, 0) - r["first"]))
+        done[file] = done.get(file, 0) + r["n"]
+    starts = spark.createDataFrame(rows, "_part int, _file string, _base long").select(*by, "_base")
+    out = marked.join(F.broadcast(starts), by)
     return out.withColumn(name, F.col("_base") + F.col("_in")).drop("_part", "_in", "_base")
 
 
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+
+
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """line_number (from 1 on in each file, blank lines counted), raw (VARIANT) of the objects of a JSONL file, with the place as _file, _start. Blank lines are skipped; what isn't an object raises, and the error names the file and line."""
+    lines = with_ordinal(file_lines(spark, path), "_line", each_file=True).where(t.strip("value") != "")
+    raw, number = F.try_parse_json("value"), (F.col("_line") + 1).alias("line_number")
+    bad = F.raise_error(F.concat("_file", F.lit(":"), (F.col("_line") + 1).cast("string"), F.lit(" is not a JSON object: "), F.substring("value", 1, 200)))
+    parsed = lines.withColumn("raw", raw)
+    return parsed.select(number, F.when(_is_object(), F.col("raw")).otherwise(bad).alias("raw"), "_file", "_start")
+
+
+def _is_object() -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant("raw"), F.lit("OBJECT")), F.lit(False))
+
+
 def scan(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """row_index, raw (VARIANT): the objects of a JSONL file. Blank lines are skipped; what isn't an object raises if strict, and is skipped if not."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
-    parsed = lines.where(t.strip("value") != "").withColumn("raw", F.try_parse_json("value"))
-    ok = F.coalesce(F.startswith(F.schema_of_variant("raw"), F.lit("OBJECT")), F.lit(False))
+    """row_index, raw (VARIANT): the objects of a JSONL file. Blank lines are skipped; what isn't an object raises if strict (see numbered()), and is skipped if not."""
     if strict:
-        bad = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200)))
-        parsed = parsed.withColumn("raw", F.when(ok, F.col("raw")).otherwise(bad))
+        parsed = numbered(spark, path)
     else:
-        parsed = parsed.where(ok)
+        parsed = file_lines(spark, path).where(t.strip("value") != "").withColumn("raw", F.try_parse_json("value")).where(_is_object())
     return with_ordinal(parsed.select("raw", "_file", "_start"), "row_index").select("row_index", "raw")
 
 
+def first_string(*keys: str) -> Column:
+    """The first of the keys whose value is a string that isn't blank, stripped."""
+    return F.coalesce(*[F.nullif(t.strip(string_at(k)), F.lit("")) for k in keys])
+
+
+def fixture(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, title, text, entities of a corpus for reports: a row without a text raises, and ids and titles that are missing are made of the line's place."""
+    place = (F.col("line_number") - 1).cast("string")
+    bad = F.raise_error(F.concat("_file", F.lit(":"), F.col("line_number").cast("string"), F.lit(" has no text")))
+    entities = F.coalesce(strings_at("entities"), F.array().cast("array<string>"))
+    return numbered(spark, path).select(
+        F.coalesce(first_string("id", "doc_id", "document_id"), F.concat(F.lit("row-"), place)).alias("doc_id"),
+        F.coalesce(first_string("title"), F.concat(F.lit("Document "), place)).alias("title"),
+        F.coalesce(first_string("text"), bad).alias("text"),
+        t.normalized_entities(entities).alias("entities"),
+    )
+
+
 def string_at(key: str, raw: str = "raw") -> Column:
     """The value of a key if it is a string, else null."""
     value = F.try_variant_get(raw, f"$['{key}']", "variant")

@@ -23,14 +23,6 @@ def exists(df_or_spark, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def single_file(df: DataFrame, path: str) -> None:
-    """All rows in one file, for results that a person reads: streamed through the driver, a partition at a time."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        for row in df.toJSON().toLocalIterator():
-            f.write(row + "\n")
-
-
 def write_json(value: dict, path: str) -> None:
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
