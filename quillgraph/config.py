@@ -18,13 +18,11 @@ def _require(ok: bool, message: str) -> None:
 class ChatConfig:
     """Where and how the chat model is called. The key isn't shown."""
 
-    provider: str = "openai"
-    model: str = "gpt-4o-mini"
+    provider: str = "local"
+    model: str = "meta-llama/Llama-3.1-8B-Instruct"
     base_url: str | None = None
     api_key: str | None = field(default=None, repr=False)
     api_key_env: str | None = None
-    temperature: float = 0.7
-    max_tokens: int | None = None
     timeout: float = 120.0
     max_retries: int = 4
     backoff: float = 1.5
@@ -43,7 +41,7 @@ class GenerateConfig:
     combo_sizes: tuple[int, ...] = (2, 3)
     max_combos: int | None = None
     sample_combos: bool = False
-    seed: int = 0
+    seed: int = 13
     min_shared: int = 1
     max_shared: int = 12
     max_pairs: int | None = None
@@ -53,14 +51,20 @@ class GenerateConfig:
     max_paths: int | None = 1000
     path_strategy: str = "dfs"
     candidate_multiplier: int = 8
-    path_min_shared: int = 1
+    path_min_shared: int = 0
     group_size: int = 3
     group_max_chars: int = 6000
-    group_max_examples: int | None = None
+    group_max_examples: int | None = 100
     styles: tuple[str, ...] = ("default",)
     include_source_text: bool = False
     resume: bool = True
     workers: int = 8
+    max_in_flight: int | None = None
+    entity_temperature: float = 0.0
+    relation_temperature: float = 1.0
+    entity_max_tokens: int | None = 2048
+    relation_max_tokens: int | None = 2048
+    json_mode: bool = False
     metadata: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self) -> None:
@@ -72,11 +76,15 @@ class GenerateConfig:
         _require(bool(self.combo_sizes) and all(k > 0 for k in self.combo_sizes), "combo sizes must be positive")
         _require(bool(self.styles) and set(self.styles) <= set(STYLES), f"unknown style among {self.styles}")
         _require(self.path_length >= 1 and self.group_size >= 1, "path length and group size must be positive")
+        _require(self.workers >= 1 and (self.max_in_flight is None or self.max_in_flight >= 1), "workers and calls in flight must be positive")
         _require(self.candidate_multiplier >= 1, "the candidate multiplier must be positive")
 
 
 @dataclass(frozen=True)
 class EvaluateConfig:
+    text_key: str = "text"
+    title_key: str | None = "title"
+    id_key: str | None = None
     min_overall: float = 0.75
     min_support: float = 0.95
     min_mention: float = 0.8

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import GenerateConfig
-from ..operators import combos, crossdoc, entities, evaluate, generate, paths, prompts, sections
+from ..config import EvaluateConfig, GenerateConfig
+from ..functions import text as t
+from ..operators import combos, compare, crossdoc, entities, evaluate, generate, paths, prompts, sections
 from ..sources import jsonl, sinks
 
 #: Key column and mode's name in generated rows.
@@ -27,17 +30,19 @@ def refreshed_cache(docs: DataFrame, cache_path: str, factory: generate.ClientFa
     spark = docs.sparkSession
     known = jsonl.entity_cache(jsonl.scan(spark, cache_path, strict=False)) if config.resume and sinks.exists(spark, cache_path) else None
     todo = docs if known is None else docs.join(entities.stale(docs, known).select("doc_id"), "doc_id", "left_semi")
-    sinks.append_jsonl(generate.extracted(todo, factory, config.workers, config.min_entity_chars), cache_path)
+    sinks.append_jsonl(generate.extracted(todo, factory, config.workers, config.min_entity_chars, config.max_in_flight, temperature=config.entity_temperature, max_tokens=config.entity_max_tokens, json_object=config.json_mode), cache_path)
     records = jsonl.entity_cache(jsonl.scan(spark, cache_path, strict=False))
     return records if config.resume else records.join(docs.select("doc_id"), "doc_id", "left_semi")
 
 
-def path_frame(docs: DataFrame, config: GenerateConfig) -> DataFrame:
-    """The ranked paths of documents with entities; built once for all modes that use them."""
+def path_frame(docs: DataFrame, config: GenerateConfig, kept: list[DataFrame]) -> DataFrame:
+    """The ranked paths of documents with entities; built once for all modes that use them. What is persisted is added to kept."""
     nodes = sections.section_nodes(docs, config.max_section_chars).persist()
     edges = sections.section_edges(nodes).persist()
     found = paths.sampled(nodes, edges, config.path_length, config.max_paths, config.candidate_multiplier, config.path_strategy != "dfs")
-    return paths.ranked(paths.described(found, nodes), config.path_strategy, config.max_paths).persist()
+    out = paths.ranked(paths.described(found, nodes), config.path_strategy, config.max_paths).persist()
+    kept += [nodes, edges, found, out]
+    return out
 
 
 def _distinct(field: str) -> Column:
@@ -93,7 +98,7 @@ def run_tasks(mode: str, tasks: DataFrame, output: str, factory: generate.Client
         todo = tasks.dropDuplicates([key])
     before = appended(spark, output, name)
     asked = todo.withColumnRenamed(key, "key")
-    answers = generate.with_answers(asked, factory, config.workers, json_object=mode == "longfaith-qa")
+    answers = generate.with_answers(asked, factory, config.workers, config.max_in_flight, temperature=config.relation_temperature, max_tokens=config.relation_max_tokens, json_object=config.json_mode and mode == "longfaith-qa")
     if mode == "longfaith-qa":
         answers = generate.parsed_qa(answers)
         rows = asked.drop("system", "prompt").join(answers.withColumnRenamed("answer", "raw_response"), "key")
@@ -118,33 +123,81 @@ def appended(spark: SparkSession, output: str, name: str) -> dict[str, int]:
 
 def run(spark: SparkSession, config: GenerateConfig, documents: DataFrame | str, cache: str, output: str, factory: generate.ClientFactory) -> dict[str, int]:
     """Runs the modes of a configuration over documents (a JSONL path, or a scan of objects) and returns the counts."""
+    kept: list[DataFrame] = []
+    try:
+        return _run(spark, config, documents, cache, output, factory, kept)
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
+def _run(spark: SparkSession, config: GenerateConfig, documents: DataFrame | str, cache: str, output: str, factory: generate.ClientFactory, kept: list[DataFrame]) -> dict[str, int]:
     scan = jsonl.scan(spark, documents) if isinstance(documents, str) else documents
     docs = jsonl.documents(scan, config.text_key, config.title_key, config.id_key, config.max_docs).drop("raw").persist()
+    kept.append(docs)
     records = refreshed_cache(docs, cache, factory, config)
-    chosen = entities.select_entities(records, docs, config.max_entities, config.entity_strategy)
-    chosen = chosen.persist()
+    chosen = entities.select_entities(records, docs, config.max_entities, config.entity_strategy).persist()
     full = entities.with_entities(docs, chosen).persist()
+    kept += [chosen, full]
     total = lambda df: int(df.agg(F.coalesce(F.sum(F.size("entities")), F.lit(0))).first()[0])
     stats = {"documents": docs.count(), "entities_extracted": total(records), "entities_selected": total(chosen), "entity_errors": records.where("error is not null").count()}
     wanted = modes_of(config.mode)
-    found = path_frame(full, config) if {"sog-lite", "long-context", "longfaith-qa"} & set(wanted) else None
+    found = path_frame(full, config, kept) if {"sog-lite", "long-context", "longfaith-qa"} & set(wanted) else None
     fine = chosen.where("error is null")
     for mode in wanted:
         stats |= run_tasks(mode, tasks_of(mode, full, fine, found, config), output, factory, config)
     return stats
 
 
-def evaluate_files(spark: SparkSession, sources: str, generated: str, out_dir: str, cache: str | None = None, config=None) -> dict:
-    """Scores a generated file against its sources and writes rows, probes, summary and report into out_dir."""
-    from ..config import EvaluateConfig
-
-    config = config or EvaluateConfig()
-    scan = jsonl.scan(spark, sources)
-    docs = jsonl.documents(scan).withColumn("entities", jsonl.strings_at("entities")).drop("raw")
-    found = evaluate.sources(docs, jsonl.entity_cache(jsonl.scan(spark, cache, strict=False)) if cache else None)
+def fixture_report(spark: SparkSession, fixture: str, cache: str | None = None, sizes: tuple[int, ...] = (2, 3), generated: tuple[str, ...] = (), top: int = 50) -> str:
+    """A corpus for a person to read: combinations of its first top documents and of all, the top entities and pairs of documents by overlap, and what generated files hold."""
+    docs = jsonl.fixture(spark, fixture)
+    if cache:
+        newer = jsonl.entity_cache(jsonl.scan(spark, cache)).select("doc_id", t.normalized_entities("entities").alias("_entities"))
+        docs = docs.join(newer, "doc_id", "left").withColumn("entities", F.coalesce("_entities", "entities")).drop("_entities")
+    counts = compare.combo_counts(docs, sizes)
+    names = [f"n_{k}" for k in sizes]
+    whole = counts.agg(F.count("*").alias("documents"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    listed = lambda r: ", ".join(f"{k}-way={r[n]}" for k, n in zip(sizes, names, strict=True))
+    lines = [f"fixture: {fixture}", f"documents: {whole['documents']}", "", "combinations in a document"]
+    lines += [f"- {r['doc_id']}: entities={r['n_entities']}; {listed(r)}" for r in counts.orderBy("doc_id").limit(top).collect()]
+    lines += [f"total: {listed(whole)}", "", "entities of several documents"]
+    shared = compare.overlap_mentions(docs).groupBy("key").agg(F.min("entity").alias("entity"), F.count("*").alias("n")).where("n > 1")
+    lines += [f"- {r['entity']}: {r['n']}" for r in shared.orderBy(F.desc("n"), "key").limit(top).collect()]
+    lines += ["", "pairs of documents by shared entities"]
+    pairs = compare.entity_overlap_pairs(docs).orderBy(F.desc("n"), "doc_a", "doc_b").limit(top)
+    lines += [f"- {r['doc_a']} <-> {r['doc_b']}: {r['n']}" for r in pairs.collect()]
+    for path in generated:
+        columns = [(jsonl.strings_at(c) if c in ("entities", "shared_entities", "doc_ids") else jsonl.text_at(c)).alias(c) for c in ("doc_id", "graph_id", "entities", "shared_entities", "doc_ids", "error")]
+        rows = compare.generated_summary(jsonl.scan(spark, path).select(*columns))
+        lines += ["", f"generated: {path}", *[f"- {r['measure']}: {r['value']}" for r in rows.orderBy("measure").collect()]]
+    return "\n".join(lines) + "\n"
+
+
+def comparison_report(spark: SparkSession, sources: str, generated: dict[str, str], cache: str | None = None) -> str:
+    """Generated files, by label, scored against one corpus, as a Markdown table."""
+    found = evaluate_sources(spark, sources, cache)
+    # One file at a time, since evaluation goes by row numbers.
+    scored = [evaluate.evaluated(generated_rows(spark, path), found, EvaluateConfig()).withColumn("label", F.lit(label)) for label, path in generated.items()]
+    return compare.comparison_table(compare.compare_generation(reduce(DataFrame.unionByName, scored)))
+
+
+def evaluate_sources(spark: SparkSession, sources: str, cache: str | None, config: EvaluateConfig = EvaluateConfig()) -> DataFrame:
+    docs = jsonl.documents(jsonl.scan(spark, sources), config.text_key, config.title_key, config.id_key)
+    docs = docs.withColumn("entities", jsonl.strings_at("entities")).drop("raw")
+    return evaluate.sources(docs, jsonl.entity_cache(jsonl.scan(spark, cache, strict=False)) if cache else None)
+
+
+def generated_rows(spark: SparkSession, generated: str) -> DataFrame:
     raw = jsonl.scan(spark, generated, strict=False)
     columns = [(jsonl.strings_at(c) if kind.startswith("array") else jsonl.text_at(c)).alias(c) for c, kind in evaluate.COLUMNS.items() if c != "row_index"]
-    result = evaluate.evaluated(raw.select("row_index", *columns), found, config).persist()
+    return raw.select("row_index", *columns)
+
+
+def evaluate_files(spark: SparkSession, sources: str, generated: str, out_dir: str, cache: str | None = None, config: EvaluateConfig | None = None) -> dict:
+    """Scores a generated file against its sources and writes rows, probes, summary and report into out_dir."""
+    config = config or EvaluateConfig()
+    result = evaluate.evaluated(generated_rows(spark, generated), evaluate_sources(spark, sources, cache, config), config).persist()
     sinks.overwrite_jsonl(evaluate.report_rows(result), f"{out_dir}/rows.jsonl")
     sinks.overwrite_jsonl(evaluate.probes(result), f"{out_dir}/probes.jsonl")
     summary = evaluate.summary(result) | {"thresholds": vars(config), "paths": {"sources": sources, "generated": generated}}

@@ -619,7 +619,7 @@ def generate_long_context(spark, sf):
 def generate_longfaith_qa(spark, sf):
     rows = paths.qa_tasks(path_task_rows(spark, sf)).withColumn("context", prompts.cited_context("chunks"))
     tasks = rows.select(F.col("qa_id").alias("key"), F.lit(prompts.QA).alias("system"), prompts.qa_prompt("chunks", "entities", "target_entities", "style").alias("prompt"))
-    found = generate.parsed_qa(generate.with_answers(tasks, OfflineClient, json_object=True))
+    found = generate.parsed_qa(generate.with_answers(tasks, OfflineClient))
     out = found.join(rows.select(F.col("qa_id").alias("key"), "context"), "key")
     return out.select(F.col("key").alias("id"), sha(prompts.qa_text("question", "answer_text", "reasoning", "context")).alias("text_sha1"), joined("support_ids").alias("support"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import unicodedata
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from quillgraph import cli
 from quillgraph.config import EvaluateConfig, GenerateConfig
 from quillgraph.functions import text as t
-from quillgraph.operators import combos, crossdoc, entities, evaluate, generate, paths, sections
+from quillgraph.operators import combos, crossdoc, entities, evaluate, generate, paths, prompts, sections
 from quillgraph.plans import pipeline
-from quillgraph.sources import chat, jsonl
+from quillgraph.sources import chat, jsonl, offline
 from quillgraph.sources.offline import OfflineClient
 
 
@@ -50,6 +51,9 @@ def test_mentions_quote_and_bound(spark):
 
 def test_fold(spark):
     assert one(spark, t.fold("x"), x="Straße ΣΑΣ") == "straße ΣΑΣ".casefold()
+    known = [chr(i) for i in range(1, 0x110000) if unicodedata.category(chr(i)) not in ("Cs", "Cn")]
+    rows = spark.createDataFrame([(c,) for c in known], "c string").select("c", t.fold("c").alias("f"))
+    assert [r.c for r in rows.collect() if r.f != r.c.casefold()] == []
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -134,8 +138,49 @@ def test_jsonl(spark, tmp_path):
     assert found[0].doc_id == "5" and len(found[1].doc_id) == 40
     path.write_text('{"text": "a"}\nbroken\n[1]\n')
     assert jsonl.scan(spark, str(path), strict=False).count() == 1
-    with pytest.raises(Exception, match="not a JSON object"):
-        jsonl.scan(spark, str(path)).collect()
+    for bad, line in (('{"text": "a"}\n\nbroken\n[1]\n', 3), ("\n[1]\n", 2)):
+        path.write_text(bad)
+        with pytest.raises(Exception, match=f"x.jsonl:{line} is not a JSON object"):
+            jsonl.scan(spark, str(path)).collect()
+
+
+def test_lines_are_numbered_in_each_file(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text('\n{"text": "x"}\n\n{"text": "y"}\n')
+    assert sorted(r.line_number for r in jsonl.numbered(spark, str(tmp_path)).collect()) == [2, 2, 4, 4]
+    assert sorted(r.row_index for r in jsonl.scan(spark, str(tmp_path)).collect()) == [0, 1, 2, 3]
+    found = jsonl.fixture(spark, str(tmp_path / "a")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.title, r.text, r.entities) for r in found] == [("row-1", "Document 1", "x", []), ("row-3", "Document 3", "y", [])]
+    (tmp_path / "a").write_text('{"text": " "}\n')
+    with pytest.raises(Exception, match="a:1 has no text"):
+        jsonl.fixture(spark, str(tmp_path / "a")).collect()
+
+
+def test_model_calls(spark):
+    class Twice(OfflineClient):
+        """Answers the first question wrongly, and tells how it was asked."""
+
+        def chat(self, messages, **options):
+            return "no" if len(messages) == 2 else json.dumps({"entities": [json.dumps(options, sort_keys=True), str(len(messages))]})
+
+    row = {"key": "k", "system": "s", "prompt": "p"}
+    got = json.loads(generate.asked_entities(Twice(), row, temperature=0.5, max_tokens=7, json_object=True))["entities"]
+    assert json.loads(got[0]) == {"json_object": True, "max_tokens": 7, "temperature": 0.0} and got[1] == "4"
+    tasks = spark.range(300).selectExpr("cast(id as string) AS key", "'s' AS system", "concat('p', id) AS prompt")
+    answers = {r.key: r.answer for r in generate.with_answers(tasks, OfflineClient, 4, 5).collect()}
+    assert answers == {str(i): f"Echo: p{i}" for i in range(300)}
+
+    begun = []
+    made = generate.pooled(lambda r: r, (begun.append(i) or i for i in range(100)), 2, 3)
+    assert next(made) == 0 and len(begun) == 3 and [0, *made] == list(range(100))
+
+
+def test_prompts_are_read_back():
+    prompt = "Article A Title: X\n\nArticle A:\nt\n\nArticle B Title: Y\n\nShared entities:\n- p\n- q\n\n" + prompts.STYLES["causal"]
+    assert offline.values(prompt, "Article B Title: ") == ["Y"] and offline.bullets(prompt, "Shared entities:") == ["p", "q"] and offline.bullets(prompt, "none") == []
+    assert offline.style(prompt) == "causal" and offline.style("x") == "default"
+    answer = offline.OfflineWriter().chat([{"role": "system", "content": "s"}, {"role": "user", "content": prompt}])
+    assert "p and q: described in X, Y." in answer and "causal" in answer
 
 
 class Failing(OfflineClient):
@@ -172,6 +217,16 @@ def test_run_all_and_evaluate(spark, tmp_path, corpus):
     assert (tmp_path / "eval" / "report.md").read_text().startswith("# Evaluation")
 
 
+def test_reports(spark, tmp_path, corpus):
+    config = GenerateConfig(mode="both", combo_sizes=(2,))
+    pipeline.run(spark, config, str(corpus), str(tmp_path / "cache"), str(tmp_path / "out"), offline.OfflineWriter)
+    text = pipeline.fixture_report(spark, str(corpus), str(tmp_path / "cache"), (2,), (str(tmp_path / "out"),))
+    assert "documents: 3" in text and "total: 2-way=9" in text and "- d0 <-> d1: 2" in text and "- rows:cross: 3" in text
+    table = pipeline.comparison_report(spark, str(corpus), {"a": str(tmp_path / "out"), "b": str(tmp_path / "out")}, str(tmp_path / "cache"))
+    a, b = table.splitlines()[2:]
+    assert a.startswith("| a | 12 | 0") and a.replace("| a |", "| b |") == b
+
+
 def test_evaluation_scores(spark):
     found = evaluate.sources(docs(spark, [("d", "Ada Lovelace wrote notes on the Analytical Engine of Charles Babbage.", ["Ada Lovelace", "Analytical Engine"])]))
     text = "### Discussion\nAda Lovelace described the Analytical Engine together with its inventor.\n### Interaction\nThey are connected because of her notes on it and the shared context of the time."
@@ -197,6 +252,22 @@ def test_config_and_cli():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["generate", "--combo-sizes", "0"])
     assert EvaluateConfig().min_overall == 0.75
+    with pytest.raises(ValueError):
+        GenerateConfig(workers=0)
+
+
+def test_defaults_and_option_names():
+    """The values and names that users of the reference know."""
+    d = vars(cli.parser().parse_args(["generate", "--input", "a", "--output", "b", "--entity-cache", "c"]))
+    known = dict(provider="local", timeout=120.0, max_retries=4, mode="single-doc", combo_sizes=(2, 3), max_entities=60, entity_strategy="llm-order", min_shared=1, max_shared=12, path_length=3, max_paths=1000, max_section_chars=1800, path_strategy="dfs", candidate_multiplier=8, path_min_shared=0, styles=("default",), group_size=3, group_max_examples=100, group_max_chars=6000, seed=13, workers=8, max_in_flight=None, entity_temperature=0.0, relation_temperature=1.0, entity_max_tokens=2048, relation_max_tokens=2048, json_mode=False, resume=True, max_docs=None, max_combos=None, max_pairs=None)
+    assert {k: d[k] for k in known} == known
+    assert {k: getattr(GenerateConfig(), k) for k in known if hasattr(GenerateConfig(), k)}.items() <= known.items()
+    options = "--api-key k --json-mode --no-progress --max-in-flight 3 --entity-temperature 0.5 --sog-min-shared-entities 2 --max-combos-per-doc 4 --generation-styles causal --cross-doc-sample-pairs --entity-selection-strategy rarity"
+    d = vars(cli.parser().parse_args(["generate", "--input", "a", "--output", "b", "--entity-cache", "c", "--title-key", "", *options.split()]))
+    assert (d["api_key"], d["json_mode"], d["max_in_flight"], d["entity_temperature"], d["path_min_shared"], d["max_combos"], d["styles"], d["sample_pairs"], d["entity_strategy"], d["title_key"]) == ("k", True, 3, 0.5, 2, 4, ("causal",), True, "rarity", None)
+    e = vars(cli.parser().parse_args("evaluate --input a --generated b --id-key x --max-redundancy-overlap 0.5".split()))
+    assert (e["sources"], e["id_key"], e["max_overlap"], e["output_dir"]) == ("a", "x", 0.5, "evaluate")
+    assert cli.labelled("x/y.jsonl") == ("y", "x/y.jsonl") and cli.labelled("a=b") == ("a", "b")
 
 
 def test_chat_helpers(monkeypatch):
@@ -207,9 +278,13 @@ def test_chat_helpers(monkeypatch):
         chat.message_text({})
     for name in ("OPENAI_API_KEY", "VLLM_API_KEY"):
         monkeypatch.delenv(name, raising=False)
-    assert chat.resolved_key(ChatConfig(provider="vllm")) == "EMPTY"
+    assert chat.resolved_key(ChatConfig(provider="vllm")) == chat.resolved_key(ChatConfig()) == "EMPTY"
+    assert chat.resolved_url(ChatConfig()) == "http://localhost:8000/v1"
     with pytest.raises(chat.ChatError):
-        chat.resolved_key(ChatConfig())
+        chat.resolved_key(ChatConfig(provider="openai"))
+    monkeypatch.setenv("OPENAI_API_KEY", "other")
+    assert chat.resolved_key(ChatConfig(provider="openai")) == "other" and chat.resolved_key(ChatConfig()) == "EMPTY"
+    assert chat.resolved_key(ChatConfig(api_key="given", provider="openai")) == "given"
     assert "secret" not in repr(ChatConfig(api_key="secret"))
 
 
@@ -223,3 +298,18 @@ def test_stream_appends_once(spark, tmp_path):
     for k in range(2):
         append_once(document_stream(spark, str(source)), "doc_id", table, str(tmp_path / f"check{k}")).awaitTermination()
     assert sorted(r.doc_id for r in spark.read.parquet(table).collect()) == ["a", "b"]
+
+
+def test_upsert_stream(spark, tmp_path):
+    from quillgraph.streaming.resume import document_stream, latest, upsert_log
+
+    source, log, check = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "check")
+    source.mkdir()
+    batches = [["a 1", "b 1"], ["a 1", "b 2", "c 1"], ["a 2"], ["a 1"]]
+    sizes = []
+    for k, rows in enumerate(batches):
+        (source / f"{k}.jsonl").write_text("".join(json.dumps({"id": r[0], "text": r}) + "\n" for r in rows))
+        upsert_log(document_stream(spark, str(source)), log, check).awaitTermination()
+        sizes.append(spark.read.parquet(log).count())
+    assert sizes == [2, 4, 5, 6]
+    assert {r.doc_id: r.text for r in latest(spark, log).collect()} == {"a": "a 1", "b": "b 2", "c": "c 1"}
