@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillgraph.llm.common import durable
 
 from ..conftest import SF
-from .test_ops import fingerprint, linked, removed, texts_of, words
+from .test_ops import fingerprint, linked, none, odd, removed, texts_of, words  # noqa: F401
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,3 +58,19 @@ def test_stages(spark):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and "sequence_id" in rows.columns
+
+
+def test_each_stage_on_odd_rows_and_none(spark, odd, none):
+    """Nulls, empty and very long texts, repeated rows, clashing names and empty tables: no stage fails, and all but the last keep the columns and add no row."""
+    for name, stage in corpus_pipeline.STAGES:
+        for rows in (odd, none):
+            docs = rows.withColumn("n_chars", F.length("text").cast("long"))
+            out = stage(spark, docs, SF)
+            if name == "best_fit_packing":
+                assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+                continue
+            assert sorted(out.columns) == sorted(docs.columns)
+            ids = Counter(r.doc_id for r in out.select("doc_id").collect())
+            assert ids <= Counter(r.doc_id for r in docs.select("doc_id").collect())
+            if name == "substring_dedup":
+                assert ids.total() == docs.count()
