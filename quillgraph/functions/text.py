@@ -32,15 +32,17 @@ def col(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _mapped(x: Column, table: dict[str, str]) -> Column:
-    return F.translate(x, "".join(table), "".join(table.values()))
+def _replaced(x: Column, table: dict[str, str]) -> Column:
+    for a, b in table.items():
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
 
 
 def fold(x: str | Column) -> Column:
     """Full case folding of every character, also of those whose fold is several: the lower case of the upper case, but for the characters of the tables."""
     # With nothing between them, the optimizer would take lower(upper()) for lower().
-    upper = F.upper(_mapped(col(x), BEFORE))
-    return _mapped(F.lower(_mapped(upper, BETWEEN)), AFTER)
+    upper = F.upper(_replaced(col(x), BEFORE))
+    return F.translate(F.lower(_replaced(upper, BETWEEN)), "".join(AFTER), "".join(AFTER.values()))
 
 
 def strip(x: str | Column) -> Column:
