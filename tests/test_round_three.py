@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillgraph.operators import crossdoc, paths, sections
+from quillgraph.operators import compare, crossdoc, paths, sections
 from quillgraph.plans import queries
 
 from .conftest import SF
@@ -67,3 +67,22 @@ def test_entities_are_found_once(spark):
     """The filter on their number doesn't find them a second time."""
     plan = queries.with_ents(spark, SF).select("doc_id", F.size("entities"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_mentions_are_counted_in_the_row_of_the_text(spark):
+    """No text is joined to entities, and each is searched once."""
+    plan = queries.QUERIES["entity_importance"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("(?iu)") == 1
+
+
+def test_compare_generation_reads_the_evaluation_once(spark):
+    """Errors, warnings, means and duplicates of each label from one pass."""
+    rows = spark.createDataFrame(
+        [("a", "One two", None, ["w"], 0.5), ("a", "one  TWO", "e", [], 1.0), ("a", "", None, [], 0.0), ("a", "", None, [], 0.5), ("b", None, "", ["x", "y"], 1.0)],
+        "label string, text string, error string, warnings array<string>, v double",
+    )
+    signals = ["selected_entity_support", "selected_entity_mention", "source_5gram_overlap", "relation_signal", "specificity", "unsupported_proper_noun_score"]
+    got = compare.compare_generation(rows.select("*", *[F.col("v").alias(c) for c in signals]))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.label: (r.n_rows, r.n_errors, r.n_warnings, r.mean_specificity, r.n_duplicates) for r in got.collect()}
+    assert found == {"a": (4, 1, 1, 0.5, 1), "b": (1, 0, 2, 1.0, 0)}
