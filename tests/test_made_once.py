@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as t
-from quillgraph.operators import entities
+from quillgraph.operators import entities, sections
+from quillgraph.plans import queries
+
+from .conftest import SF
 
 
 def plan_of(df) -> str:
@@ -28,3 +31,12 @@ def test_entities_of_a_beginning_are_those_of_the_whole(spark, monkeypatch, begi
     for most, least in ((2, 4), (1, 2), (8, 3), (0, 1)):
         whole = F.slice(F.array_distinct(F.filter(t.tokens("x"), lambda w: F.length(w) >= least)), 1, most)
         assert df.where(~entities.token_entities("x", most, least).eqNullSafe(whole)).count() == 0
+
+
+def test_titles_of_sections_are_made_where_they_are_read(spark):
+    """Keys of sections need no first sentences; a heading's or a document's title, also none, stays as it is."""
+    nodes = queries.nodes_of(spark, SF)
+    assert "(?<=[.!?])" in plan_of(nodes) and "(?<=[.!?])" not in plan_of(sections.section_keys(nodes))
+    docs = spark.createDataFrame([("1", 1, "h", None, "Alpha. First\n\n# Head\nalpha", ["Alpha"]), ("2", 2, "h", "T", "Alpha is. More\n\nnone\n\nno # alpha", ["Alpha"])], "doc_id string, source_index long, source_sha256 string, title string, text string, entities array<string>")
+    got = [(r.section_id, r.section_title) for r in sections.section_nodes(docs).orderBy("section_id").collect()]
+    assert got == [("1#s0", None), ("1#s1", "Head"), ("2#s0", "Alpha is"), ("2#s2", "no # alpha")]
