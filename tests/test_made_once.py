@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as t
-from quillgraph.operators import entities, sections
+from quillgraph.operators import entities, generate, sections
 from quillgraph.plans import queries
 
 from .conftest import SF
@@ -40,3 +40,11 @@ def test_titles_of_sections_are_made_where_they_are_read(spark):
     docs = spark.createDataFrame([("1", 1, "h", None, "Alpha. First\n\n# Head\nalpha", ["Alpha"]), ("2", 2, "h", "T", "Alpha is. More\n\nnone\n\nno # alpha", ["Alpha"])], "doc_id string, source_index long, source_sha256 string, title string, text string, entities array<string>")
     got = [(r.section_id, r.section_title) for r in sections.section_nodes(docs).orderBy("section_id").collect()]
     assert got == [("1#s0", None), ("1#s1", "Head"), ("2#s0", "Alpha is"), ("2#s2", "no # alpha")]
+
+
+def test_run_stats_makes_the_rows_twice(spark):
+    """Once as rows considered, once as rows done; no third time for the rows to do."""
+    assert plan_of(queries.QUERIES["run_stats"](spark, SF)).count("Relation [") == 2
+    tasks = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    done = spark.createDataFrame([("b",), ("x",)], "key string")
+    assert sorted(map(tuple, generate.marked_done(tasks, done, "id").collect())) == [("a", True), ("b", False), ("c", True)]
