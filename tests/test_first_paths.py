@@ -5,10 +5,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from quillgraph.operators import paths, sections
+from quillgraph.functions import text as t
+from quillgraph.operators import crossdoc, paths, sections
+from quillgraph.plans import queries
 
-from .test_round_three import nodes_of
+from .conftest import SF
 
 
 def shuffled(spark, since: int) -> int:
@@ -54,3 +57,32 @@ def test_first_paths_of_any_number_of_beginnings(spark, monkeypatch, first, few)
         got = [tuple(r.path) for r in paths.sampled(nodes, None, 3, most, ranked=False).orderBy("order").collect()]
         assert got == every[:most]
     nodes.unpersist()
+
+
+def test_paths_are_planned_without_the_plan_of_sections(spark):
+    """What first paths do step by step isn't planned over what makes the sections."""
+    got = paths._cut(spark.createDataFrame([("a", "d", ["k", "l"]), ("b", "e", [])], "id string, doc_id string, keys array<string>").where("id <> 'c'"))
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [("a", "d", ["k", "l"]), ("b", "e", [])]
+    assert "Filter" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_white_space_of_patterns_is_that_of_characters(spark):
+    """Both classes take exactly the characters of SPACES, and are made of few tests a character."""
+    code = spark.range(0x110000).where("id < 55296 or id >= 57344")
+    rows = code.select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    of = lambda pattern: {r.c for r in rows.where(F.rlike("c", F.lit(pattern))).collect()}
+    assert of(t.S) == set(t.SPACES) and of(t.S_BUT_SPACE) == set(t.SPACES) - {" "}
+
+
+def test_pairs_of_a_common_key_are_spread(spark):
+    """2000 documents of one key: no task makes more than a few of the 1,999,000 pairs' cells."""
+    rows = spark.range(2000).select(F.format_string("%04d", "id").alias("id"), F.array(F.lit("k")).alias("keys"))
+    made = crossdoc.met(rows, F.col("a_id") < F.col("b_id")).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in made) == 1_999_000 and max(r["count"] for r in made) < 1_000_000
+
+
+def test_all_modes_tasks_finds_entities_once_for_ids(spark):
+    """Pairs and combinations read entities that are kept; none is found anew."""
+    plan = queries.QUERIES["all_modes_tasks"](spark, SF)._jdf.queryExecution().withCachedData().toString()
+    assert "regexp_extract_all" not in plan.replace("InMemoryRelation", "\0").split("\0")[0] and plan.count("InMemoryRelation") >= 3
+    spark.catalog.clearCache()
